@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 EMBEDDING_TABLE_SCHEMA = "id BIGINT, pdf_name STRING, content STRING, embedding ARRAY<FLOAT>"
 
@@ -34,3 +35,10 @@ def append_rows(df: DataFrame, name: str) -> None:
     if set(target.columns) != set(df.columns):
         raise ValueError(f"columns of {name} are {target.columns}, got {df.columns}")
     df.select(*target.columns).write.mode("append").format("parquet").saveAsTable(name)
+
+
+def rows_from_columns(df: DataFrame, keep: list[str], arrays: list[str]) -> DataFrame:
+    """Parallel arrays of a row to table rows, with their place in the arrays."""
+    zipped = F.posexplode_outer(F.arrays_zip(*arrays)).alias("place", "_z")
+    rows = df.select(*keep, zipped).where("place IS NOT NULL")
+    return rows.select(*keep, "place", *[F.col(f"_z.{a}").alias(a) for a in arrays])
