@@ -4,11 +4,13 @@ Layout below the index path::
 
     meta/             one row per published version (append only)
     model/            the embedder, if the index makes its vectors from text
-    base-<version>/   key, columns, embedding; partitioned by bucket
+    base-<version>/   key, columns, embedding, version; partitioned by bucket
     changes/sync=<n>/ upserted and deleted rows of sync n
 
 A sync writes only its change set, whatever the size of the base. A sync number is
-written as a whole or replaced as a whole, so a repeated sync changes nothing.
+written as a whole or replaced as a whole, so a repeated sync changes nothing. Every row
+has a version; for each key the highest version counts, so a row that comes late or twice
+does not undo a newer one.
 ``compact`` folds the change sets into the next base and publishes it with a new
 metadata row; a path that is being read is never written.
 """
@@ -149,14 +151,17 @@ def create_from_vectors(
     buckets: int = 16,
     mode: str = "vectors",
     training: DataFrame | None = None,
+    version: str | None = None,
 ) -> Index:
     """Build an index from precomputed vectors. A vector of another width is an error.
 
+    Keys must be unique. ``version`` names a bigint column; without it all rows have version 0.
     ``training`` may name the rows to train the buckets on, if they are cheaper to make
     than a sample of ``rows``.
     """
     spark = rows.sparkSession
-    table = rows.select(F.col(key).alias("key"), *columns, "embedding")
+    number = F.col(version) if version else F.lit(0)
+    table = rows.select(F.col(key).alias("key"), *columns, "embedding", number.cast("bigint").alias("version"))
     if training is None:
         training = training_sample(rows, buckets)
     width_known = training.where(F.size("embedding") == width)
@@ -204,9 +209,12 @@ def current_rows(spark: SparkSession, index: Index) -> DataFrame:
     changes = change_sets(spark, index)
     if changes is None:
         return base
-    newest = latest_per_key(changes, "key", "sync")
-    kept = base.join(newest.select("key"), "key", "left_anti")
-    return kept.unionByName(newest.where(~F.col("deleted")).select(*base.columns))
+    newest = latest_per_key(changes, "key", "version", "sync")
+    heads = newest.select("key", F.col("version").alias("_newer"))
+    kept = base.join(heads, "key", "left").where("_newer IS NULL OR _newer < version").drop("_newer")
+    late = base.select("key", "version").join(heads, "key").where("_newer < version").select("key")
+    applied = newest.where(~F.col("deleted")).join(late, "key", "left_anti")
+    return kept.unionByName(applied.select(*base.columns))
 
 
 def change_sets(spark: SparkSession, index: Index) -> DataFrame | None:
@@ -220,17 +228,27 @@ def change_sets(spark: SparkSession, index: Index) -> DataFrame | None:
 
 
 def write_changes(
-    spark: SparkSession, index: Index, sync: int, upserts: DataFrame | None = None, deletes: DataFrame | None = None
+    spark: SparkSession,
+    index: Index,
+    sync: int,
+    upserts: DataFrame | None = None,
+    deletes: DataFrame | None = None,
+    version: str | None = None,
 ) -> None:
-    """Write change set ``sync``: rows to upsert (key, columns, embedding) and keys to delete."""
+    """Write change set ``sync``: rows to upsert (key, columns, embedding) and keys to delete.
+
+    ``version`` names a bigint column of both; without it the number of the sync counts.
+    """
     base = spark.read.parquet(index.base)
+    number = (F.col(version) if version else F.lit(sync + 1)).cast("bigint").alias("version")
     parts = []
     if upserts is not None:
-        table = upserts.select("key", *index.columns, "embedding")
+        table = upserts.select("key", *index.columns, "embedding", number)
         placed = _bucketed(normalised(_checked(table, "embedding", index.width)), index.centroids)
         parts.append(placed.select(*base.columns).withColumn("deleted", F.lit(False)))
     if deletes is not None:
-        gone = deletes.select("key", *[F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema if f.name != "key"])
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema if f.name not in ("key", "version")]
+        gone = deletes.select("key", number, *empty)
         parts.append(gone.select(*base.columns).withColumn("deleted", F.lit(True)))
     rows = parts[0]
     for part in parts[1:]:

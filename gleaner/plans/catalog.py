@@ -389,7 +389,7 @@ def E4_sync_stream(spark, sf):
 def E5_change_feed(spark, sf):
     old = table(spark, sf, "documents").select("doc_id", "text", "source")
     toxic = table(spark, sf, "labels").where("toxic = 1")
-    kept = old.join(toxic.select("doc_id"), "doc_id", "left_anti").withColumn("text", tx.core_text(F.col("text")))
+    kept = old.join(toxic.select("doc_id"), "doc_id", "left_anti").withColumn("text", tx.clean_section(F.col("text")))
     added = table(spark, sf, "pages").select(
         (-1 - F.col("page_id")).alias("doc_id"), F.col("html").alias("text"), F.lit("web").alias("source")
     )
@@ -402,18 +402,16 @@ def E6_continuous(spark, sf):
     rows = table(spark, sf, "embeddings")
     made = _vector_index(spark, sf)
     folder = stage_path(spark, "arrivals")
-    late = rows.withColumn("embedding", F.transform("embedding", lambda x: -x))
-    deliveries = rows.withColumn("delivery", F.lit(1)).unionByName(late.withColumn("delivery", F.lit(2)))
-    deliveries.repartition(4, "vec_id").write.parquet(folder)
-    rows.withColumn("delivery", F.lit(1)).coalesce(1).write.mode("append").parquet(folder)
-    stream = file_stream(spark, folder, deliveries.schema)
+    first = rows.withColumn("delivery", F.lit(1))
+    second = rows.withColumn("embedding", F.transform("embedding", lambda x: -x)).withColumn("delivery", F.lit(2))
+    for arrival in (first, second, first):
+        arrival.coalesce(1).write.mode("append").parquet(folder)
+    stream = file_stream(spark, folder, first.schema, files_per_batch=1)
 
     def keyed(batch):
         return batch.select(F.col("vec_id").alias("key"), "label", "embedding", "delivery")
 
-    running = sync_stream(
-        stream.dropDuplicates(["vec_id", "delivery"]), made, keyed, stage_path(spark, "checkpoint"), "delivery", every="1 second"
-    )
+    running = sync_stream(stream, made, keyed, stage_path(spark, "checkpoint"), "delivery", every="1 second")
     running.processAllAvailable()
     running.stop()
     return _indexed(index.current_rows(spark, made))
