@@ -67,7 +67,7 @@ chunks AS (
     array_to_string(w[chunk_no * {STEP} + 1 : chunk_no * {STEP} + {SIZE}], ' ') AS content
   FROM starts)"""
 
-CHUNK_REPORT = f"SELECT doc_id, chunk_no, len({words('content')}) AS n_words, md5(content) AS content_md5 FROM chunks"
+CHUNK_REPORT = f"SELECT doc_id, chunk_no, len({words('content')})::INT AS n_words, md5(content) AS content_md5 FROM chunks"
 
 PACKED = f"""
 sent AS (
