@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.session import staged
+
 
 def latest_per_key(df: DataFrame, key: str, *version: str | Column) -> DataFrame:
     """Keep for each key the row with the highest version.
@@ -31,25 +33,26 @@ def changes_between(old: DataFrame, new: DataFrame, key: str, columns: list[str]
     """Row-level changes that lead from one snapshot to the next: (key, change, columns).
 
     ``change`` is insert, delete, update_pre or update_post. Keys must be unique on both
-    sides. One full outer join on the key; unchanged rows are dropped right after it.
+    sides. The snapshots are compared by key and row hash only; the rows themselves are
+    fetched for the changed keys, which are written out first so that Spark knows how few
+    they are.
     """
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(key, F.struct(*columns).alias(name), row_hash(columns).alias(f"{name}_hash"))
+    def hashed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(key, row_hash(columns).alias(name))
 
-    both = side(old, "old").join(side(new, "new"), key, "full_outer")
-    both = both.where(~F.col("old_hash").eqNullSafe(F.col("new_hash")))
+    both = hashed(old, "_old").join(hashed(new, "_new"), key, "full_outer")
+    kind = (
+        F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").otherwise("update")
+    )
+    changed = staged(both.where(~F.col("_old").eqNullSafe(F.col("_new"))).select(key, kind.alias("change")), "changed")
 
-    def entry(change: str, row: str) -> Column:
-        return F.struct(F.lit(change).alias("change"), F.col(row).alias("row"))
+    def rows(df: DataFrame, alone: str, updated: str) -> DataFrame:
+        kinds = changed.where(F.col("change").isin(alone, "update"))
+        named = F.when(F.col("change") == "update", updated).otherwise(F.col("change"))
+        return df.select(key, *columns).join(kinds, key).select(key, named.alias("change"), *columns)
 
-    kinds = (
-        F.when(F.col("old_hash").isNull(), F.array(entry("insert", "new")))
-        .when(F.col("new_hash").isNull(), F.array(entry("delete", "old")))
-        .otherwise(F.array(entry("update_pre", "old"), entry("update_post", "new")))
-    )
-    rows = both.select(key, F.explode(kinds).alias("_c"))
-    return rows.select(key, "_c.change", *[F.col(f"_c.row.{c}").alias(c) for c in columns])
+    return rows(old, "delete", "update_pre").unionByName(rows(new, "insert", "update_post"))
 
 
 def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import LINE_BREAK, join_sections, token_count
+from gleaner.session import staged
 
 # HTML parts without text, tags that end a section, and the common character references.
 HTML_HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
@@ -77,8 +78,10 @@ def core_lines(
     lines = df.select(doc_id, core.alias("_core"))
     ids = lines.select(doc_id, F.explode_outer(F.array_distinct(F.transform("_core", line_id))).alias("_id"))
     ids = ids.where(F.col("_id").isNotNull())
-    common = ids.groupBy("_id").agg(F.count("*").alias("_docs")).where(F.col("_docs") > max_docs)
-    dropped = ids.join(common.select("_id"), "_id").groupBy(doc_id).agg(F.collect_list("_id").alias("_drop"))
+    common = ids.groupBy("_id").agg(F.count("*").alias("_docs")).where(F.col("_docs") > max_docs).select("_id")
+    # Both are small next to the texts; written out, Spark knows their size and can broadcast them.
+    hits = ids.join(staged(common, "common-lines"), "_id")
+    dropped = staged(hits.groupBy(doc_id).agg(F.collect_list("_id").alias("_drop")), "dropped-lines")
     joined = lines.join(dropped, doc_id, "left")
     kept = F.filter("_core", lambda s: ~F.array_contains(F.col("_drop"), line_id(s)))
     return joined.select(

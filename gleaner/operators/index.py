@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from gleaner.functions.vectors import norm, unit
 from gleaner.operators import embed, search
 from gleaner.operators.changes import latest_per_key
+from gleaner.session import staged
 
 TRAINING_ROWS_PER_BUCKET = 256
 META_SCHEMA = (
@@ -313,20 +314,20 @@ def search_index(
     probes: int | None = None,
     query_id: str = "query_id",
     vector: str = "embedding",
-    block_bytes: int = search.BLOCK_BYTES,
-    broadcast_queries: int = search.BROADCAST_QUERIES,
+    **limits: int,
 ) -> DataFrame:
     """(query_id, rank, score, key). With ``probes``, only that many nearest buckets are searched."""
     check_model(index, model)
     rows = current_rows(spark, index)
-    if probes is None or probes >= len(index.centroids):
-        return search.nearest(rows, queries, k, query_id=query_id, vector=vector, width=index.width)
+    if probes is None:
+        return search.nearest(rows, queries, k, query_id=query_id, vector=vector, width=index.width, **limits)
     asked = queries.where(F.size(vector) == index.width).select(
         F.col(query_id).alias("query_id"), F.col(vector).alias("embedding")
     )
     probed = nearest_centroids(asked, "embedding", index.centroids, probes, "_near")
-    spread = probed.select("query_id", "embedding", F.explode("_near").alias("bucket"))
+    spread = staged(probed.select("query_id", "embedding", F.explode("_near").alias("bucket")), "probes")
+    # At most as many values as the index has buckets; other partitions are not read.
+    wanted = [row.bucket for row in spread.select("bucket").distinct().collect()]
     return search.nearest(
-        rows, spread, k, width=index.width, within=["bucket"],
-        block_bytes=block_bytes, broadcast_queries=broadcast_queries,
+        rows, spread, k, width=index.width, where=F.col("bucket").isin(wanted), within=["bucket"], **limits
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import terms
+from gleaner.session import staged
 
 # The usual BM25 parameters and the number of passages kept.
 BM25_K1 = 1.2
@@ -16,40 +17,39 @@ BM25_B = 0.75
 KEEP = 3
 
 
-def document_frequencies(corpus: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(term, df) for the wanted terms.
+def term_frequencies(corpus: DataFrame, text: str) -> DataFrame:
+    """(term, df) over the whole corpus: built and stored once, then used by every re-ranking.
 
     Counts are reduced in each task before the shuffle, so a term that stands in every
     chunk is one row per task, not one per chunk.
     """
     seen = corpus.select(F.explode_outer(F.array_distinct(terms(F.col(text)))).alias("term"))
-    counts = seen.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
-    return counts.join(wanted.select("term").distinct(), "term", "left_semi")
+    return seen.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def bm25_scores(candidates: DataFrame, corpus: DataFrame, text: str, n_terms: str) -> DataFrame:
-    """(query_id, key, bm25) for candidates (query_id, key, question, content).
+def bm25_scores(
+    candidates: DataFrame, frequencies: DataFrame, n_chunks: int, mean_terms: float, text: str = "content"
+) -> DataFrame:
+    """(query_id, key, bm25) for candidates (query_id, key, question, text).
 
-    ``corpus`` is the chunk table; ``n_terms`` its column with the number of terms of a chunk.
+    ``frequencies`` is the stored ``term_frequencies`` of the corpus; ``n_chunks`` and
+    ``mean_terms`` are its number of chunks and their mean number of terms.
     """
-    size = corpus.agg(F.count("*").alias("n"), F.avg(n_terms).alias("length")).first()
-    if not size.n:
-        return candidates.select("query_id", "key", F.lit(0.0).alias("bm25"))
-    asked = candidates.select("query_id", "key", F.array_distinct(terms(F.col("question"))).alias("_q"), text)
-    parts = asked.select("query_id", "key", "_q", terms(F.col(text)).alias("_d"))
-    hits = parts.select(
+    parts = candidates.select(
         "query_id",
         "key",
-        F.size("_d").alias("_length"),
-        F.explode(F.filter("_d", lambda t: F.array_contains(F.col("_q"), t))).alias("term"),
+        F.array_distinct(terms(F.col("question"))).alias("_q"),
+        terms(F.col(text)).alias("_d"),
     )
-    tf = hits.groupBy("query_id", "key", "_length", "term").agg(F.count("*").alias("tf"))
-    wanted = candidates.select("query_id", "question").distinct().select(
-        F.explode(F.array_distinct(terms(F.col("question")))).alias("term")
+    shared = F.filter("_d", lambda t: F.array_contains(F.col("_q"), t))
+    hits = parts.select("query_id", "key", F.size("_d").alias("_length"), F.explode_outer(shared).alias("term"))
+    tf = hits.where(F.col("term").isNotNull()).groupBy("query_id", "key", "_length", "term").agg(
+        F.count("*").alias("tf")
     )
-    weighted = tf.join(document_frequencies(corpus, text, wanted), "term")
-    idf = F.log(1 + (size.n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    length = 1 - BM25_B + BM25_B * F.col("_length") / size.length
+    # Few rows against the whole vocabulary: written out, so that the small side is known to be small.
+    weighted = staged(tf, "hits").join(frequencies, "term")
+    idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    length = 1 - BM25_B + BM25_B * F.col("_length") / mean_terms
     part = idf * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + BM25_K1 * length)
     scores = weighted.groupBy("query_id", "key").agg(F.round(F.sum(part), 6).alias("bm25"))
     return candidates.select("query_id", "key").join(scores, ["query_id", "key"], "left").select(

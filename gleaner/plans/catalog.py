@@ -13,7 +13,7 @@ from gleaner.operators import (
     answer, changes, chunk, embed, evaluate, extract, index, ordering, prompt, rerank, search,
 )
 from gleaner.plans.stages import (
-    benchmark_questions, chat_questions, chunk_table, prepare, retrieve, table,
+    benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table,
 )
 from gleaner.session import stage_path, staged
 from gleaner.sources import csv, files, tables
@@ -379,8 +379,8 @@ def E4_sync_stream(spark, sf):
         rows = embed.embed_text(chunk_table(batch), "content", model)
         return rows.select("key", "doc_id", "chunk_no", "content", "embedding", F.lit(1).alias("version"))
 
-    stream = file_stream(spark, sf, schema, glob="documents.parquet")
-    sync_stream(stream, made, chunked, stage_path(spark, "checkpoint"), "version").awaitTermination()
+    stream = file_stream(spark, sf, schema, glob="documents.parquet").withColumn("version", F.lit(1))
+    sync_stream(stream, made, chunked, stage_path(spark, "checkpoint"), "doc_id", "version").awaitTermination()
     rows = index.current_rows(spark, made)
     return rows.select("key", "doc_id", "chunk_no", md5("content").alias("content_md5"), F.size("embedding").alias("width"))
 
@@ -411,7 +411,9 @@ def E6_continuous(spark, sf):
     def keyed(batch):
         return batch.select(F.col("vec_id").alias("key"), "label", "embedding", "delivery")
 
-    running = sync_stream(stream, made, keyed, stage_path(spark, "checkpoint"), "delivery", every="1 second")
+    running = sync_stream(
+        stream, made, keyed, stage_path(spark, "checkpoint"), "vec_id", "delivery", every="1 second"
+    )
     running.processAllAvailable()
     running.stop()
     return _indexed(index.current_rows(spark, made))
@@ -521,7 +523,10 @@ def _reranked(spark, sf, keep):
     chunks, model = prepare(spark, sf)
     asked = staged(benchmark_questions(spark, sf), "questions")
     found = staged(retrieve(chunks, model, asked, 5, ["content"]), "found")
-    scores = rerank.bm25_scores(found.join(asked, "query_id"), chunks, "content", "n_terms")
+    size = chunks.agg(F.count("*").alias("n"), F.avg("n_terms").alias("mean")).first()
+    scores = rerank.bm25_scores(
+        found.join(asked, "query_id"), prepared_frequencies(spark, sf), size.n, size.mean
+    )
     return found, rerank.best_of(scores, "bm25", keep)
 
 

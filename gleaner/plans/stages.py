@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import chunk_key, core_text, terms
-from gleaner.operators import chunk, embed, search
+from gleaner.operators import chunk, embed, rerank, search
 from gleaner.session import read_source, staged
 
 _prepared: dict[tuple[str, str], tuple[DataFrame, PipelineModel]] = {}
+_frequencies: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,15 @@ def prepare(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]
     return _prepared[key]
 
 
+def prepared_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term frequencies of the prepared chunks, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _frequencies:
+        chunks, _ = prepare(spark, sf_dir)
+        _frequencies[key] = staged(rerank.term_frequencies(chunks, "content"), "terms")
+    return _frequencies[key]
+
+
 def benchmark_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(query_id, question): each benchmark text is a question."""
     rows = table(spark, sf_dir, "benchmark")
