@@ -26,9 +26,8 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleaner.functions.vectors import norm, unit
 from gleaner.operators import embed, search
@@ -107,27 +106,26 @@ def coarse_centroids(training: DataFrame, vector: str, buckets: int, seed: int =
     return np.array(model.clusterCenters())
 
 
-def nearest_centroids(df: DataFrame, vector: str, centroids: np.ndarray, n: int, out: str) -> DataFrame:
-    """Add the numbers of the ``n`` nearest centroids. Their table is small: buckets x width."""
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    place = df.columns.index(vector)
+def nearest_centroids(vector: Column, centroids: np.ndarray, n: int) -> Column:
+    """The numbers of the ``n`` nearest centroids, whose table is small: buckets x width.
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only the vectors pass through Python; the other columns of the row stay in the JVM.
+    """
+
+    @F.arrow_udf("array<int>")
+    def near(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = -search.score_matrix(search.matrix(batch.column(place)), centroids, "l2")
-            order = np.argsort(near, axis=1, kind="stable")[:, :n].astype(np.int32)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), order.shape[1])
-            arrays = [*batch.columns, lists.cast(pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, out])
+            rows = search.matrix(batch) if len(batch) else np.zeros((0, centroids.shape[1]))
+            scores = search.score_matrix(rows, centroids, "l2")
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :n].astype(np.int32)
+            offsets = np.arange(0, order.size + 1, order.shape[1], dtype=np.int32)
+            yield pa.ListArray.from_arrays(offsets, order.ravel())
 
-    return df.mapInArrow(assign, schema)
+    return near(vector)
 
 
 def _bucketed(df: DataFrame, centroids: np.ndarray) -> DataFrame:
-    placed = nearest_centroids(df, "embedding", centroids, 1, "_near")
-    return placed.withColumn("bucket", F.col("_near")[0]).drop("_near")
+    return df.withColumn("bucket", nearest_centroids(F.col("embedding"), centroids, 1)[0])
 
 
 def _write_base(df: DataFrame, path: str) -> None:
@@ -324,7 +322,8 @@ def search_index(
     asked = queries.where(F.size(vector) == index.width).select(
         F.col(query_id).alias("query_id"), F.col(vector).alias("embedding")
     )
-    probed = nearest_centroids(asked, "embedding", index.centroids, probes, "_near")
+    near = nearest_centroids(F.col("embedding"), index.centroids, probes)
+    probed = asked.withColumn("_near", near)
     spread = staged(probed.select("query_id", "embedding", F.explode("_near").alias("bucket")), "probes")
     # At most as many values as the index has buckets; other partitions are not read.
     wanted = [row.bucket for row in spread.select("bucket").distinct().collect()]
