@@ -28,13 +28,18 @@ VECTOR_WIDTH = 1024
 REQUEST_SIZE = 150
 
 
-def term_counts(df: DataFrame, text: str, out: str = "tf", width: int = VECTOR_WIDTH) -> DataFrame:
-    """Add the sparse vector of hashed term counts of a text."""
-    buckets = F.transform(terms(F.col(text)), lambda t: (hex_number(t, 1, 8) % width).cast("string"))
+def term_counts(
+    df: DataFrame, text: str, out: str = "tf", width: int = VECTOR_WIDTH, size: str | None = None
+) -> DataFrame:
+    """Add the sparse vector of hashed term counts of a text and, if ``size`` is given, its number of terms."""
+    listed = df.withColumn("_terms", terms(F.col(text)))
+    if size:
+        listed = listed.withColumn(size, F.size("_terms"))
+    buckets = F.transform("_terms", lambda t: (hex_number(t, 1, 8) % width).cast("string"))
     counter = CountVectorizerModel.from_vocabulary(
         [str(i) for i in range(width)], inputCol="_buckets", outputCol=out
     )
-    return counter.transform(df.withColumn("_buckets", buckets)).drop("_buckets")
+    return counter.transform(listed.withColumn("_buckets", buckets)).drop("_buckets", "_terms")
 
 
 def fit_weights(counted: DataFrame, tf: str = "tf") -> IDFModel:

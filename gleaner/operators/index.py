@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.vectors import norm, unit
 from gleaner.operators import embed, search
-from gleaner.operators.changes import latest_per_key
 from gleaner.session import staged
 
 TRAINING_ROWS_PER_BUCKET = 256
@@ -102,7 +101,7 @@ def training_sample(df: DataFrame, buckets: int, seed: int = 7) -> DataFrame:
 
 def coarse_centroids(training: DataFrame, vector: str, buckets: int, seed: int = 7) -> np.ndarray:
     features = training.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    model: KMeansModel = KMeans(k=buckets, seed=seed, maxIter=5, initSteps=2).fit(features)
+    model: KMeansModel = KMeans(k=buckets, seed=seed, maxIter=5, initMode="random").fit(features)
     return np.array(model.clusterCenters())
 
 
@@ -203,17 +202,26 @@ def load_model(index: Index) -> PipelineModel:
 
 
 def current_rows(spark: SparkSession, index: Index) -> DataFrame:
-    """The rows of the index: the base, overlaid with the change sets that came after it."""
+    """The rows of the index: the base, overlaid with the change sets that came after it.
+
+    The keys that changed are written out first, so Spark knows their size: as long as they
+    can be broadcast, the base is scanned without a shuffle. ``compact`` keeps it that way.
+    """
     base = spark.read.parquet(index.base)
     changes = change_sets(spark, index)
     if changes is None:
         return base
-    newest = latest_per_key(changes, "key", "version", "sync")
-    heads = newest.select("key", F.col("version").alias("_newer"))
-    kept = base.join(heads, "key", "left").where("_newer IS NULL OR _newer < version").drop("_newer")
-    late = base.select("key", "version").join(heads, "key").where("_newer < version").select("key")
-    applied = newest.where(~F.col("deleted")).join(late, "key", "left_anti")
-    return kept.unionByName(applied.select(*base.columns))
+    # Narrow first: only key, version and sync decide which change counts. A key is unique within a sync.
+    heads = changes.groupBy("key").agg(F.max(F.struct("version", "sync")).alias("_head"))
+    heads = staged(
+        heads.select("key", F.col("_head.version").alias("_newer"), F.col("_head.sync").alias("sync")), "heads"
+    )
+    marks = heads.select("key", "_newer")
+    kept = base.join(marks, "key", "left").where("_newer IS NULL OR _newer < version").drop("_newer")
+    late = base.select("key", "version").join(marks, "key").where("_newer < version").select("key")
+    late = staged(late, "late")
+    newest = changes.where(~F.col("deleted")).join(heads.select("key", "sync"), ["key", "sync"], "left_semi")
+    return kept.unionByName(newest.join(late, "key", "left_anti").select(*base.columns))
 
 
 def change_sets(spark: SparkSession, index: Index) -> DataFrame | None:
@@ -236,6 +244,7 @@ def write_changes(
 ) -> None:
     """Write change set ``sync``: rows to upsert (key, columns, embedding) and keys to delete.
 
+    A key may stand in it once, as an upsert or as a delete.
     ``version`` names a bigint column of both; without it the number of the sync counts.
     """
     base = spark.read.parquet(index.base)

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import chunk_key, core_text, terms
+from gleaner.functions.text import chunk_key, core_text
 from gleaner.operators import chunk, embed, rerank, search
 from gleaner.session import read_source, staged
 
@@ -26,8 +26,7 @@ def chunk_table(documents: DataFrame) -> DataFrame:
 
 def counted_chunks(documents: DataFrame) -> DataFrame:
     """Chunk rows with their term counts ``tf`` and number of terms ``n_terms``."""
-    counted = embed.term_counts(chunk_table(documents), "content")
-    return counted.withColumn("n_terms", F.size(terms(F.col("content"))))
+    return embed.term_counts(chunk_table(documents), "content", size="n_terms")
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]:

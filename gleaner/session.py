@@ -53,13 +53,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """Read Parquet; spread it out if the files hold fewer splits than there are cores.
+    """Read Parquet; spread it out if it has fewer splits than there are cores.
 
-    A large table has many row groups and is left as it is. A small table in one row
-    group would keep all its text work in one task; only such a table is shuffled.
+    Spark cuts files so that every core gets a split of at least some megabytes, so fewer
+    splits than cores means a small table. In one row group it would keep all its text work
+    in one task; only such a small table is shuffled, a large one is left as it is.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if cores > 1 and df.rdd.getNumPartitions() < 2 * cores:
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(2 * cores)
     return df
