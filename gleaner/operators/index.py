@@ -285,26 +285,55 @@ def compact(spark: SparkSession, index: Index) -> Index:
 def create_or_sync(
     rows: DataFrame, path: str, key: str, width: int, columns: list[str], model: str = "given", buckets: int = 16
 ) -> Index:
-    """Create the index if there is none; otherwise write what is new or changed since as one change set.
+    """Create the index if there is none; otherwise bring it in step with ``rows``, the whole source.
 
     An index keeps its mode and model: vectors of two models cannot be compared.
     """
-    spark = rows.sparkSession
-    index = open_index(spark, path)
+    index = open_index(rows.sparkSession, path)
     if index is None:
         return create_from_vectors(rows, path, key, width, columns, model, buckets=buckets)
     check_model(index, model, "vectors")
     ready = rows.select(F.col(key).alias("key"), *columns, "embedding")
-    have = current_rows(spark, index)
-    compared = normalised(ready).select("key", F.xxhash64(*columns, "embedding").alias("_h"))
-    stored = have.select("key", F.xxhash64(*columns, "embedding").alias("_g"))
-    fresh = compared.join(stored, "key", "left").where(~F.col("_h").eqNullSafe(F.col("_g"))).select("key")
-    changed = ready.join(fresh, "key", "left_semi")
-    if not fresh.isEmpty():
-        write_changes(spark, index, last_sync(spark, index) + 1, upserts=changed)
+    _sync(index, ready, normalised(ready), [*columns, "embedding"])
+    return index
+
+
+def create_or_sync_text(
+    counted: DataFrame, path: str, key: str, text: str, columns: list[str], tf: str = "tf", buckets: int = 16
+) -> Index:
+    """The same for an index that makes its own vectors; new rows are embedded with its frozen model."""
+    index = open_index(counted.sparkSession, path)
+    if index is None:
+        return create_from_text(counted, path, key, text, columns, tf, buckets)
+    check_model(index, index.model_id, "text")
+    made = embed.embed_counts(counted.withColumnRenamed(tf, "tf"), load_model(index))
+    ready = made.select(F.col(key).alias("key"), *index.columns, "embedding")
+    _sync(index, ready, ready, list(index.columns))
     return index
 
 
+def _sync(index: Index, source: DataFrame, compared: DataFrame, by: list[str]) -> None:
+    """Write what was added, changed or removed since the last sync as one change set.
+
+    Source and index meet by key and row hash only. The keys that differ are written out,
+    so that Spark knows how few they are when it fetches their rows.
+    """
+    spark = source.sparkSession
+    wanted = compared.select("key", F.xxhash64(*by).alias("_want"))
+    have = current_rows(spark, index).select("key", F.xxhash64(*by).alias("_have"))
+    differ = wanted.join(have, "key", "full_outer").where(~F.col("_want").eqNullSafe(F.col("_have")))
+    keys = staged(differ.select("key", F.col("_want").isNull().alias("gone")), "to-sync")
+    if keys.isEmpty():
+        return
+    write_changes(
+        spark,
+        index,
+        last_sync(spark, index) + 1,
+        upserts=source.join(keys.where("NOT gone").select("key"), "key", "left_semi"),
+        deletes=keys.where("gone").select("key"),
+    )
+
+
 def check_model(index: Index, model: str, mode: str | None = None) -> None:
     if mode is not None and index.mode != mode:
         raise ValueError(f"index {index.path} is in mode {index.mode}, not {mode}")

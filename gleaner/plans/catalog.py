@@ -353,7 +353,7 @@ def E3_create_or_sync(spark, sf):
         "embedding", F.when(F.col("label") == 3, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))
     )
     reports = []
-    for step, given in enumerate([rows, rows, turned, turned]):
+    for step, given in enumerate([rows, rows, turned, turned, turned.where("label <> 0")]):
         made = index.create_or_sync(given, path, "vec_id", 64, ["label"])
         sets = index.change_sets(spark, made)
         n_changes = F.lit(0) if sets is None else F.lit(sets.count())

@@ -340,9 +340,9 @@ SELECT vec_id, (generate_subscripts(embedding[1:20], 1) - 1)::INT AS place,
 SELECT vec_id, label, {INDEX_SAMPLE}, 1.0::DOUBLE AS length, true AS has_bucket FROM embeddings""",
         "E2_index_text": with_ctes(*SEARCHED, found(4), select="SELECT * FROM found"),
         "E3_create_or_sync": """
-SELECT s::INT AS step, (SELECT count(*) FROM embeddings) AS n_rows, (SELECT count(*) FROM embeddings) AS n_keys,
-  CASE WHEN s < 2 THEN 0 ELSE (SELECT count(*) FROM embeddings WHERE label = 3) END AS n_changes
-FROM range(4) t(s)""",
+SELECT s::INT AS step, count(*) FILTER (s < 4 OR label <> 0) AS n_rows, count(*) FILTER (s < 4 OR label <> 0) AS n_keys,
+  count(*) FILTER (s >= 2 AND label = 3) + count(*) FILTER (s = 4 AND label = 0) AS n_changes
+FROM embeddings, range(5) t(s) GROUP BY s""",
         "E4_sync_stream": with_ctes(
             *BASE, select="SELECT key, doc_id, chunk_no, md5(content) AS content_md5, 1024 AS width FROM chunks"
         ),

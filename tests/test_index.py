@@ -101,3 +101,16 @@ def test_stream_equals_batch_and_a_second_run_adds_nothing(spark, small):
     assert shape(got) == shape(want)
     counts = changes.completeness(counted, got, "key").first()
     assert counts.complete and counts.indexed == counted.count()
+
+
+def test_text_index_is_created_then_synced(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    counted = staged(counted_chunks(docs), "counted")
+    path = stage_path(spark, "ix")
+    for given, sets in ((counted, None), (counted, None), (counted.where("doc_id <> 5"), 0)):
+        made = index.create_or_sync_text(given, path, "key", "content", ["doc_id"], buckets=4)
+        changed = index.change_sets(spark, made)
+        assert (None if changed is None else index.last_sync(spark, made)) == sets
+        assert index.current_rows(spark, made).count() == given.count()
+    with pytest.raises(ValueError, match="in mode text"):
+        index.create_or_sync(counted, path, "key", 1024, ["doc_id"])
