@@ -13,10 +13,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,14 +44,19 @@ def term_counts(
     return counter.transform(listed.withColumn("_buckets", buckets)).drop("_buckets", "_terms")
 
 
-def fit_weights(counted: DataFrame, tf: str = "tf") -> IDFModel:
-    """Inverse document frequencies ``ln((n + 1) / (df + 1))`` of a counted corpus."""
-    return IDF(inputCol=tf, outputCol="_tfidf").fit(counted)
+def fit_weights(counted: DataFrame, tf: str = "tf") -> np.ndarray:
+    """Inverse document frequencies ``ln((n + 1) / (df + 1))`` of a counted corpus, one per bucket."""
+    return IDF(inputCol=tf, outputCol="_tfidf").fit(counted).idf.toArray()
 
 
-def embedder(weights: IDFModel) -> PipelineModel:
-    """The frozen model: weights and scaling. It can be saved and loaded with an index."""
-    return PipelineModel([weights, Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0)])
+def embedder(weights: np.ndarray) -> PipelineModel:
+    """The frozen model: weighting and scaling. Its weights are all it takes to make it again."""
+    weighting = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="_tfidf")
+    return PipelineModel([weighting, Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0)])
+
+
+def weights_of(model: PipelineModel) -> np.ndarray:
+    return model.stages[0].getScalingVec().toArray()
 
 
 def embed_counts(counted: DataFrame, model: PipelineModel, out: str = "embedding") -> DataFrame:
@@ -60,14 +67,14 @@ def embed_counts(counted: DataFrame, model: PipelineModel, out: str = "embedding
 
 def embed_text(df: DataFrame, text: str, model: PipelineModel, out: str = "embedding") -> DataFrame:
     """Embed texts, such as questions, with the frozen weights of the corpus."""
-    width = len(model.stages[0].idf)
+    width = len(weights_of(model))
     return embed_counts(term_counts(df, text, "tf", width), model, out).drop("tf")
 
 
 def model_id(model: PipelineModel) -> str:
     """Name of a model; it changes when any weight changes."""
-    idf = model.stages[0].idf.toArray()
-    return f"hashed-tfidf-{len(idf)}-{hashlib.md5(idf.tobytes()).hexdigest()[:12]}"
+    weights = weights_of(model)
+    return f"hashed-tfidf-{len(weights)}-{hashlib.md5(weights.tobytes()).hexdigest()[:12]}"
 
 
 def nonzero_weights(df: DataFrame, vector: str, *keep: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Layout below the index path::
 
-    meta/             one row per published version (append only)
-    model/            the embedder, if the index makes its vectors from text
+    meta/             one row per published version (append only), with the centres of the
+                      buckets and, if the index makes its vectors from text, the model weights
     base-<version>/   key, columns, embedding, version; partitioned by bucket
     changes/sync=<n>/ upserted and deleted rows of sync n
 
@@ -18,7 +18,7 @@ metadata row; a path that is being read is never written.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +36,11 @@ from gleaner.session import staged
 TRAINING_ROWS_PER_BUCKET = 256
 META_SCHEMA = (
     "version bigint, mode string, model_id string, width int, columns array<string>, "
-    "applied_sync bigint, centroids array<array<double>>"
+    "applied_sync bigint, centroids array<array<double>>, weights array<double>"
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Index:
     """Metadata of the newest published version."""
 
@@ -52,6 +52,7 @@ class Index:
     columns: tuple[str, ...]
     applied_sync: int
     centroids: np.ndarray
+    weights: np.ndarray
 
     @property
     def base(self) -> str:
@@ -70,14 +71,14 @@ def open_index(spark: SparkSession, path: str) -> Index | None:
         return None
     return Index(
         path, row.version, row.mode, row.model_id, row.width, tuple(row.columns), row.applied_sync,
-        np.array(row.centroids),
+        np.array(row.centroids), np.array(row.weights),
     )
 
 
 def _publish(spark: SparkSession, index: Index) -> Index:
     row = (
         index.version, index.mode, index.model_id, index.width, list(index.columns), index.applied_sync,
-        index.centroids.tolist(),
+        index.centroids.tolist(), index.weights.tolist(),
     )
     spark.createDataFrame([row], META_SCHEMA).coalesce(1).write.mode("append").parquet(f"{index.path}/meta")
     return index
@@ -149,6 +150,7 @@ def create_from_vectors(
     buckets: int = 16,
     mode: str = "vectors",
     training: DataFrame | None = None,
+    weights: np.ndarray | None = None,
     version: str | None = None,
 ) -> Index:
     """Build an index from precomputed vectors. A vector of another width is an error.
@@ -164,7 +166,7 @@ def create_from_vectors(
         training = training_sample(rows, buckets)
     width_known = training.where(F.size("embedding") == width)
     centroids = coarse_centroids(normalised(width_known), "embedding", buckets)
-    index = Index(path, 1, mode, model, width, tuple(columns), -1, centroids)
+    index = Index(path, 1, mode, model, width, tuple(columns), -1, centroids, np.zeros(0) if weights is None else weights)
     _write_base(_bucketed(normalised(_checked(table, "embedding", width)), centroids), index.base)
     return _publish(spark, index)
 
@@ -177,8 +179,8 @@ def create_from_text(
     ``counted`` is a stored table with term counts (``embed.term_counts``), since the
     weights and the vectors each read it once.
     """
-    model = embed.embedder(embed.fit_weights(counted, tf))
-    model.write().overwrite().save(f"{path}/model")
+    weights = embed.fit_weights(counted, tf)
+    model = embed.embedder(weights)
     counted = counted.withColumnRenamed(tf, "tf")
     training = embed.embed_counts(training_sample(counted, buckets), model)
     keep = [text, *[c for c in columns if c != text]]
@@ -186,19 +188,20 @@ def create_from_text(
         embed.embed_counts(counted, model),
         path,
         key,
-        len(model.stages[0].idf),
+        len(weights),
         keep,
         embed.model_id(model),
         buckets=buckets,
         mode="text",
         training=training,
+        weights=weights,
     )
 
 
 def load_model(index: Index) -> PipelineModel:
     if index.mode != "text":
         raise ValueError("this index was built from given vectors and has no model")
-    return PipelineModel.load(f"{index.path}/model")
+    return embed.embedder(index.weights)
 
 
 def current_rows(spark: SparkSession, index: Index) -> DataFrame:
@@ -275,9 +278,7 @@ def compact(spark: SparkSession, index: Index) -> Index:
     upto = last_sync(spark, index)
     if upto == index.applied_sync:
         return index
-    following = Index(
-        index.path, index.version + 1, index.mode, index.model_id, index.width, index.columns, upto, index.centroids
-    )
+    following = replace(index, version=index.version + 1, applied_sync=upto)
     _write_base(current_rows(spark, index), following.base)
     return _publish(spark, following)
 

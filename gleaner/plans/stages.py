@@ -80,5 +80,5 @@ def retrieve(
     """Nearest chunks for question texts: (query_id, rank, score, key, columns)."""
     asked = embed.embed_text(questions.select("query_id", "question"), "question", model)
     corpus = embed.embed_counts(chunks.select("key", "tf"), model)
-    found = search.nearest(corpus, asked, k, width=len(model.stages[0].idf))
+    found = search.nearest(corpus, asked, k, width=len(embed.weights_of(model)))
     return search.with_columns(found, chunks, columns) if columns else found

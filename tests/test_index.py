@@ -74,7 +74,7 @@ def test_repeated_and_late_changes(spark, rows, made):
     folded = index.compact(spark, made)
     assert (folded.version, folded.applied_sync) == (2, 2)
     check(index.open_index(spark, made.path))
-    assert index.compact(spark, folded) == folded or index.compact(spark, folded).version == 2
+    assert index.compact(spark, folded).version == 2
 
 
 def test_stream_equals_batch_and_a_second_run_adds_nothing(spark, small):
