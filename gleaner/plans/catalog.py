@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from gleaner.operators import (
 from gleaner.plans.stages import (
     benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table,
 )
-from gleaner.session import stage_path, staged
+from gleaner.session import ship_package, stage_path, staged
 from gleaner.sources import csv, files, tables
 from gleaner.streaming.sync import file_stream, sync_stream
 
@@ -28,8 +29,13 @@ FIT_LIMIT = 400
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    REGISTERED[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    REGISTERED[fn.__name__] = run
+    return run
 
 
 def md5(column) -> F.Column:

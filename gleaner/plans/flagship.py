@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import answer, prompt, search
 from gleaner.plans.stages import benchmark_questions, prepare, retrieve
+from gleaner.session import ship_package
 
 
 def ask(spark: SparkSession, sf_dir: str, k: int = 2) -> DataFrame:
     """(query_id, best_score, holds_question, answer, prompt) for every benchmark question."""
+    ship_package(spark)
     chunks, model = prepare(spark, sf_dir)
     asked = benchmark_questions(spark, sf_dir)
     found = retrieve(chunks, model, asked, k, ["content"])

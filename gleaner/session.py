@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, tempfile.TemporaryDirectory] = {}
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(name: str, cores: int | str = "*", **conf: str) -> SparkSession:
@@ -27,6 +30,22 @@ def local_session(name: str, cores: int | str = "*", **conf: str) -> SparkSessio
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).parent
+    folder = tempfile.TemporaryDirectory(prefix="gleaner-")
+    archive = Path(folder.name) / "gleaner.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    # Executors fetch the file from the driver when they need it, so it stays until the driver ends.
+    _shipped[app] = folder
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
