@@ -100,9 +100,14 @@ def training_sample(df: DataFrame, buckets: int, seed: int = 7) -> DataFrame:
     return df if share == 1.0 else df.sample(share, seed)
 
 
-def coarse_centroids(training: DataFrame, vector: str, buckets: int, seed: int = 7) -> np.ndarray:
-    features = training.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    model: KMeansModel = KMeans(k=buckets, seed=seed, maxIter=5, initMode="random").fit(features)
+def coarse_centroids(training: DataFrame, vector: str, buckets: int, width: int, seed: int = 7) -> np.ndarray:
+    """Centres of the buckets: at most as many as there are different training vectors, and at least one."""
+    different = staged(training.select(F.col(vector).alias("v")).distinct(), "training")
+    k = min(buckets, different.count())
+    if k < 2:
+        return np.zeros((1, width))
+    features = different.select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
+    model: KMeansModel = KMeans(k=k, seed=seed, maxIter=5, initMode="random").fit(features)
     return np.array(model.clusterCenters())
 
 
@@ -165,7 +170,7 @@ def create_from_vectors(
     if training is None:
         training = training_sample(rows, buckets)
     width_known = training.where(F.size("embedding") == width)
-    centroids = coarse_centroids(normalised(width_known), "embedding", buckets)
+    centroids = coarse_centroids(normalised(width_known), "embedding", buckets, width)
     index = Index(path, 1, mode, model, width, tuple(columns), -1, centroids, np.zeros(0) if weights is None else weights)
     _write_base(_bucketed(normalised(_checked(table, "embedding", width)), centroids), index.base)
     return _publish(spark, index)

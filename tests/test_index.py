@@ -114,3 +114,14 @@ def test_text_index_is_created_then_synced(spark, small):
         assert index.current_rows(spark, made).count() == given.count()
     with pytest.raises(ValueError, match="in mode text"):
         index.create_or_sync(counted, path, "key", 1024, ["doc_id"])
+
+
+def test_copies_can_be_indexed(spark, rows):
+    one = rows.where("vec_id = 1").select("embedding")
+    copies = spark.range(50).join(one).select(F.col("id").alias("vec_id"), F.lit(1).alias("label"), "embedding")
+    mixed = copies.unionByName(rows.where("vec_id >= 490").select("vec_id", "label", "embedding"))
+    for source in (copies, mixed):
+        made = index.create_from_vectors(source, stage_path(spark, "ix"), "vec_id", 64, ["label"])
+        asked = source.withColumnRenamed("vec_id", "query_id")
+        got = index.search_index(spark, made, asked, 3, made.model_id, probes=len(made.centroids))
+        assert best(got) == best(search.nearest(source, source, 3, key="vec_id", query_id="vec_id", width=64))
