@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, decontaminate, jaccard, quality, substring, urls, warc
+from gleaner.llm import chat, decontaminate, jaccard, langid, packing, quality, substring, token_output, urls, warc
 from gleaner.llm.common import read
 from gleaner.session import ship_package, stage_path
 
@@ -25,6 +25,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+@query
+def op1_packing(spark, sf):
+    return packing.pack(read(spark, sf, "documents"), with_ids=False).drop("ids")
+
+
 @query
 def op2_jaccard_join(spark, sf):
     return jaccard.similar_sets(read(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
@@ -48,6 +53,15 @@ def op4_chat_format(spark, sf):
     return chat.read_back(chat.format_paths(chat.choose_paths(chat.turns_as_tree(rows))))
 
 
+@query
+def op5_training_order(spark, sf):
+    path = stage_path(spark, "training-order")
+    token_output.write_training_order(read(spark, sf, "documents"), path)
+    written = token_output.digests(token_output.read_training_order(spark, path))
+    held = spark.read.parquet(f"{path}/manifest")
+    return written.join(held, "slot").select("slot", "shard", "byte_offset", "index", "n_ids", "ids_crc32", F.col("pieces.doc_id").alias("doc_ids"), F.col("pieces.start").alias("starts"), F.col("pieces.length").alias("lengths"))
+
+
 @query
 def op6_quality_rules(spark, sf):
     judged = quality.judge_quality(read(spark, sf, "documents"), read(spark, sf, "labels"))
@@ -64,6 +78,14 @@ def op7_url_filter(spark, sf):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op8_language(spark, sf):
+    docs = read(spark, sf, "documents")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_decontaminate(spark, sf):
     return decontaminate.report(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
