@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import stage
+from gleaner.session import stage_path
 
 OPEN, MIDDLE, CLOSE = '<turn role="', '">\n', "</turn>\n"
 TRAINED_ROLE = "assistant"
@@ -49,30 +50,36 @@ def turns_as_tree(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") ->
     return numbered.select("conv_id", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")
 
 
+JUMPS = "conv_id bigint, node bigint, up bigint, depth bigint, total double"
+
+
 def _climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Depth and summed score of every node that hangs on a root, and the tables of jumps over 1, 2, 4 ... parents."""
+    """Depth and summed score of every node that hangs on a root, and the tables of jumps over 1, 2, 4 ... parents.
+
+    A round joins only nodes that are still below a root, so a few long threads cost no work for the many short ones.
+    """
+    spark = nodes.sparkSession
     parents = nodes.select("conv_id", F.col("node").alias("parent"), F.lit(True).alias("_there"))
     known = nodes.select("conv_id", "node", "parent", "score").join(parents, ["conv_id", "parent"], "left")
     # ``up`` is the ancestor at the present distance, null beyond the root; depth and total cover the nodes below it.
-    now = stage(known.select("conv_id", "node", F.when(F.col("_there"), F.col("parent")).alias("up"), F.lit(1).cast("bigint").alias("depth"), F.col("score").alias("total")), "chat-jump")
-    jumps, open_before = [], None
+    first = known.select("conv_id", "node", F.when(F.col("_there"), F.col("parent")).alias("up"), F.lit(1).cast("bigint").alias("depth"), F.col("score").alias("total"))
+    paths, jumps, open_before = [], [], None
+    following = first
     while True:
-        still_open = now.filter("up is not null").count()
-        if not still_open or still_open == open_before:
-            break
-        jumps.append(now.filter("up is not null").select("conv_id", "node", "up"))
-        open_before = still_open
-        above = now.select("conv_id", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
-        joined = now.join(above, ["conv_id", "up"], "left")
-        now = stage(
-            joined.select(
-                "conv_id", "node", F.col("_up").alias("up"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-            ),
-            "chat-jump",
+        paths.append(stage_path(spark, "chat-jump"))
+        following.write.parquet(paths[-1])
+        now = spark.read.schema(JUMPS).parquet(paths[-1])
+        done = spark.read.schema(JUMPS).parquet(*paths).filter("up is null")
+        still_open = now.filter("up is not null")
+        n = still_open.count()
+        if not n or n == open_before:
+            return done.select("conv_id", "node", "depth", "total"), jumps
+        open_before = n
+        jumps.append(still_open.select("conv_id", "node", "up"))
+        above = done.unionByName(still_open).select("conv_id", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
+        following = still_open.join(above, ["conv_id", "up"]).select(
+            "conv_id", "node", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), (F.col("total") + F.col("_total")).alias("total")
         )
-    return now.filter("up is null").select("conv_id", "node", "depth", "total"), jumps
 
 
 def choose_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
