@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,20 +106,62 @@ def sequences(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SEQUENCES)
 
 
-def _slotted(made: DataFrame, starts: DataFrame, permutation: Permutation, per_shard: int) -> DataFrame:
-    """``index, slot, shard`` added."""
+def _indexed(made: DataFrame, starts: DataFrame) -> DataFrame:
     # One row of two numbers per task.
-    indexed = made.join(F.broadcast(starts), "part").withColumn("index", F.col("first") + F.col("place")).drop("first", "part", "place")
-    shape = indexed.withColumns({"slot": F.lit(0).cast("bigint"), "shard": F.lit(0).cast("bigint")}).schema
+    return made.join(F.broadcast(starts), "part").withColumn("index", F.col("first") + F.col("place")).drop("first", "part", "place")
+
+
+def _slotted(indexed: DataFrame, permutation: Permutation) -> DataFrame:
+    """``slot`` added."""
+    shape = indexed.withColumn("slot", F.lit(0).cast("bigint")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = permutation.slots(batch.column("index").to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slot), pa.array(slot // per_shard)], names=shape.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slot)], names=shape.names)
 
     return indexed.mapInArrow(run, shape)
 
 
+def _dealt(indexed: DataFrame, permutation: Permutation, per_shard: int, length: int, width: int) -> DataFrame:
+    """``shard, slot, value`` with all records of a shard in one partition.
+
+    Records cross the shuffle packed and compressed by task and shard. A shard has at most ``per_shard`` records, so
+    unpacking one is a task of bounded size.
+    """
+    size = length * width
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            slot = permutation.slots(batch.column("index").to_numpy(zero_copy_only=False))
+            ids = batch.column("ids")
+            shard = slot // per_shard
+            order = np.argsort(slot, kind="stable")
+            starts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            rows = []
+            for a, b in zip(starts, np.append(starts[1:], len(order))):
+                at = order[a:b]
+                blob = b"".join([ids[int(i)].as_buffer().to_pybytes() for i in at])
+                rows.append((int(shard[at[0]]), slot[at].tobytes(), squeeze.compress(blob)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.binary(), pa.binary()])], names=["shard", "slots", "packed"])
+
+    def unpack(table: pa.Table) -> pa.Table:
+        open_up = zstandard.ZstdDecompressor()
+        slots, records = [], []
+        for at, blob in zip(table.column("slots"), table.column("packed")):
+            slots.append(np.frombuffer(at.as_buffer(), np.int64))
+            records.append(np.frombuffer(open_up.decompress(blob.as_buffer().to_pybytes()), np.uint8).reshape(-1, size))
+        slot, body = np.concatenate(slots), np.ascontiguousarray(np.concatenate(records))
+        value = pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(slot), [None, pa.py_buffer(body)])
+        shard = pa.array(np.full(len(slot), table.column("shard")[0].as_py(), np.int64))
+        return pa.table({"shard": shard, "slot": pa.array(slot), "value": pc.cast(value, pa.binary())})
+
+    packed = indexed.mapInArrow(pack, "shard bigint, slots binary, packed binary")
+    return packed.groupBy("shard").applyInArrow(unpack, "shard bigint, slot bigint, value binary")
+
+
 def stride_of(length: int, width: int) -> int:
     return length * width + 1
 
@@ -138,12 +181,13 @@ def write_training_order(
     spark = docs.sparkSession
     first = spark.createDataFrame(starts, "part int, first bigint")
     order = Permutation(n, key)
-    held = _slotted(made.drop("ids"), first, order, per_shard)
+    held = _slotted(_indexed(made.drop("ids"), first), order)
     held.select("slot", "index", "n_ids", "pieces").write.option("compression", "zstd").parquet(f"{path}/manifest")
     shards = max(1, -(-n // per_shard))
-    slotted = _slotted(made.select("part", "place", "ids"), first, order, per_shard)
-    dealt = slotted.select("shard", "slot", F.col("ids").cast("string").alias("value")).repartition(shards, "shard")
-    dealt.sortWithinPartitions("shard", "slot").select("shard", "value").write.partitionBy("shard").text(f"{path}/shards")
+    dealt = _dealt(_indexed(made.select("part", "place", "ids"), first), order, per_shard, length, encoder(vocabulary).kind.itemsize)
+    # The text sink writes bytes as they are; within a file records stand in the order of their slots.
+    rows = dealt.sortWithinPartitions("shard", "slot").select("shard", F.col("value").cast("string").alias("value"))
+    rows.write.partitionBy("shard").text(f"{path}/shards")
     return n
 
 

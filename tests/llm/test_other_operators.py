@@ -115,7 +115,7 @@ def test_training_order(spark, docs):
     parts = {}
     for slot, r in written.items():
         assert (r.shard, r.byte_offset) == (slot // 16, slot % 16 * 129)
-        assert held[slot].index == order.indices(np.array([slot]))[0]
+        assert held[slot]["index"] == order.indices(np.array([slot]))[0]
         at, ids = 0, np.frombuffer(r.ids, "<u2")
         for p in held[slot].pieces:
             parts.setdefault(p.doc_id, []).append((p.start, ids[at : at + p.length].tobytes()))
