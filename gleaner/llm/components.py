@@ -9,12 +9,20 @@ edges are a table in the shared folder, so a lost executor costs tasks of one ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import stage
 
 
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and a mark of them that is taken while they are written."""
+    seen = Observation()
+    marked = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("mark"))
+    table = stage(marked, "edges")
+    return table, (seen.get["n"], seen.get["mark"])
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest node it knows."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -37,12 +45,12 @@ def components(edges: DataFrame, u: str, v: str, most_rounds: int = 100) -> Data
     Nulls and self-links are ignored, repeated and reversed edges count once, no edges give no rows.
     """
     pairs = edges.select(F.col(u).alias("a"), F.col(v).alias("b")).filter("a is not null and b is not null and a != b")
-    now = stage(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = None
+    now, seen = _written(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(most_rounds):
-        now = stage(_small_star(_large_star(now)), "edges")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen or mark[0] == 0:
+        if not seen[0]:
+            break
+        now, mark = _written(_small_star(_large_star(now)))
+        if mark == seen:
             break
         seen = mark
     else:

@@ -12,8 +12,9 @@ Skipping between sets:
 * Equal sets are one class with one entry in the index.
 * In each round every index list offers one pivot set; the other sets of the list are compared with it and, where they
   link, take its label: their answers are derived from the pivot's, and sets of one label are never paired again. Rounds
-  go on until the pairs left over are no more than a small multiple of the index.
-* Pairs left over are found between blocks of the lists (one label, one size band, 16 places each). A pair of blocks is
+  go on while they lower the pairs left over, which are counted and not made.
+* Pairs left over are found between blocks of the lists (one label, sizes and places within
+  a few percent). A pair of blocks is
   skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped when a set that both
   were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
 
@@ -38,14 +39,15 @@ from gleaner.llm import marks
 from gleaner.llm import words as wd
 from gleaner.llm.common import stage
 from gleaner.llm.components import components
+from gleaner.session import stage_path
 
 SHINGLE = 5
 PERCENT = 80
 #: Rounds of pivots at most; pairs left over are compared in the end whatever their number.
-ROUNDS = 8
-#: Pairs left over, per index entry, with which the rounds end.
+ROUNDS = 4
+#: Pairs left over, per index entry, with which the rounds end; they also end when a round leaves more than this share.
 LEFT_OVER = 2
-POSITIONS_PER_BLOCK = 16
+STILL_FALLING = 0.7
 
 #: Hashes with this bit unset are counted.
 COUNTED_BIT = np.uint64(1)
@@ -124,6 +126,9 @@ def _sets(docs: DataFrame, table, k: int, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SETS)
 
 
+COMPARED = "a bigint, b bigint, shared bigint, na bigint, nb bigint, linked boolean"
+
+
 def least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / F.lit(100 + percent))
 
@@ -143,12 +148,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.withColumn("linked", 100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared")))
 
 
-def _labelled(index: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    if links is None:
-        return index.withColumn("label", F.col("doc_id")), None
-    labels = stage(components(links, "a", "b"), "labels")
-    joined = index.join(labels.select(F.col("node").alias("doc_id"), F.col("component").alias("_label")), "doc_id", "left")
-    return joined.withColumn("label", F.coalesce("_label", "doc_id")).drop("_label"), labels
+def _next_labels(labels: DataFrame, compared: DataFrame) -> DataFrame:
+    """Each set takes the smallest label among its own and those of the sets it was found to link with.
+
+    Sets of one label are connected through links. Connected sets may still have different labels; that costs
+    comparisons, and the components at the end join them.
+    """
+    links = compared.filter("linked")
+    both = links.select(F.col("a").alias("s"), F.col("b").alias("doc_id")).unionByName(links.select(F.col("b").alias("s"), F.col("a").alias("doc_id")))
+    offered = both.join(labels, "doc_id").groupBy("s").agg(F.min("label").alias("_offer")).withColumnRenamed("s", "doc_id")
+    return labels.join(offered, "doc_id", "left").select("doc_id", F.least("label", "_offer").alias("label"))
 
 
 def _left_over(index: DataFrame) -> int:
@@ -169,17 +178,23 @@ def _against_pivots(index: DataFrame, number: int, percent: int) -> DataFrame:
 
 def _between_blocks(index: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
     """All remaining pairs of sets of different labels that share an index entry and may link."""
-    band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("bigint")
-    entries = index.select("h", "doc_id", "n", "place", "label", band.alias("band"), F.floor(F.col("place") / POSITIONS_PER_BLOCK).alias("block"))
-    key = ["h", "label", "band", "block"]
+    # A block holds entries of one label and list whose sizes and places differ by a few percent only.
+    band = F.floor(F.log("n") / F.log(F.lit(100 / percent + 1e-9))).cast("bigint")
+    fine = F.floor(20 * F.log("n")).cast("bigint")
+    depth = F.floor(50 * F.col("place") / F.col("n")).cast("bigint")
+    entries = index.select("h", "doc_id", "n", "place", "label", band.alias("band"), fine.alias("fine"), depth.alias("depth"))
+    key = ["h", "label", "band", "fine", "depth"]
     blocks = entries.groupBy(*key).agg(F.min("place").alias("place"), F.min("n").alias("least"), F.max("n").alias("most"))
     left = blocks.select("h", *[F.col(c).alias(f"{c}_a") for c in blocks.columns[1:]])
-    right = blocks.select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band_a"), *[F.col(c).alias(f"{c}_b") for c in blocks.columns[1:]])
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    right = blocks.select("h", near.alias("band_a"), *[F.col(c).alias(f"{c}_b") for c in blocks.columns[1:]])
     room = F.least(F.col("most_a") - F.col("place_a"), F.col("most_b") - F.col("place_b")) >= least_overlap(F.col("least_a"), F.col("least_b"), percent)
-    met = left.join(right, ["h", "band_a"]).filter((F.col("label_a") < F.col("label_b")) & room).select("h", "label_a", "band_a", "block_a", "label_b", "band_b", "block_b")
+    sizes = (100 * F.col("most_a") >= percent * F.col("least_b")) & (100 * F.col("most_b") >= percent * F.col("least_a"))
+    met = left.join(right, ["h", "band_a"]).filter((F.col("label_a") < F.col("label_b")) & room & sizes)
+    met = met.select("h", *[f"{c}_{side}" for side in "ab" for c in key[1:]])
     for side in "ab":
-        own = entries.select("h", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "band", "block", "doc_id", "n", "place")])
-        met = met.join(own, ["h", f"label_{side}", f"band_{side}", f"block_{side}"])
+        own = entries.select("h", *[F.col(c).alias(f"{c}_{side}") for c in (*key[1:], "doc_id", "n", "place")])
+        met = met.join(own, ["h", *[f"{c}_{side}" for c in key[1:]]])
     met = met.filter(_may_link(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
     pairs = met.select(
         F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"), (F.col("n_a") + F.col("n_b")).alias("both")
@@ -203,6 +218,7 @@ def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> D
 
     ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one reachable by links.
     """
+    spark = docs.sparkSession
     bits = marks.range_bits(docs)
     table = marks.mark_table(_counted(docs, bits, k), bits, marks.levels_of_counts)
     sets = stage(_sets(docs, table, k, percent), "sets")
@@ -216,23 +232,28 @@ def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> D
     index = stage(entries.join(shared, "h", "left_semi"), "index")
     kept_sets = stage(listed.select("doc_id", "members").join(index.select("doc_id").distinct(), "doc_id", "left_semi"), "indexed-sets")
 
-    links = tested = None
     size = index.count()
-    for number in range(ROUNDS):
-        labelled, _ = _labelled(index, links)
-        labelled = stage(labelled, "index")
-        if _left_over(labelled) <= LEFT_OVER * size:
+    labels = kept_sets.select("doc_id", F.col("doc_id").alias("label")).distinct()
+    tested: list[str] = []
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        tested.append(stage_path(spark, "compared"))
+        _verified(pairs, kept_sets, percent).write.parquet(tested[-1])
+        return spark.read.schema(COMPARED).parquet(tested[-1])
+
+    left_before = float("inf")
+    for number in range(ROUNDS + 1):
+        labelled = stage(index.join(labels, "doc_id"), "index")
+        left = _left_over(labelled)
+        if number == ROUNDS or left <= LEFT_OVER * size or left > STILL_FALLING * left_before:
             break
+        left_before = left
         pairs = _against_pivots(labelled, number, percent)
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        new = stage(_verified(stage(pairs, "pairs"), kept_sets, percent), "compared")
-        tested = new if tested is None else tested.unionByName(new)
-        links = tested.filter("linked")
-    else:
-        labelled = stage(_labelled(index, links)[0], "index")
-    rest = stage(_verified(stage(_between_blocks(labelled, tested, percent), "pairs"), kept_sets, percent), "compared")
-    links = rest.filter("linked") if links is None else links.unionByName(rest.filter("linked"))
+        if tested:
+            pairs = pairs.join(spark.read.schema(COMPARED).parquet(*tested).select("a", "b"), ["a", "b"], "left_anti")
+        labels = stage(_next_labels(labels, compare(pairs)), "labels")
+    compare(_between_blocks(labelled, spark.read.schema(COMPARED).parquet(*tested) if tested else None, percent))
+    links = spark.read.schema(COMPARED).parquet(*tested).filter("linked")
 
     reached = components(links, "a", "b").select(F.col("node").alias("class_id"), "component")
     grouped = classes.join(reached, "class_id", "left").select("sig_a", "sig_b", "class_id", F.coalesce("component", "class_id").alias("component_id"))
