@@ -74,18 +74,15 @@ class Model(NamedTuple):
 
 def script_of_words(cut: wd.Words) -> np.ndarray:
     """The script of the first letter of each word that has one, 0 else."""
-    data = cut.data
-    n = len(data)
-    padded = np.concatenate((data, np.zeros(3, np.uint8))).astype(np.int64)
-    b0, b1, b2 = padded[:n], padded[1 : n + 1], padded[2 : n + 2]
+    padded = np.concatenate((cut.data, np.zeros(3, np.uint8))).astype(np.int64)
+    b0, b1, b2 = (padded[cut.start + k] for k in range(3))
     point = np.where(b0 < 0x80, b0, 0)
     point = np.where((b0 >= 0xC0) & (b0 < 0xE0), (b0 & 0x1F) << 6 | (b1 & 0x3F), point)
     point = np.where((b0 >= 0xE0) & (b0 < 0xF0), (b0 & 0x0F) << 12 | (b1 & 0x3F) << 6 | (b2 & 0x3F), point)
-    script = _SCRIPT[point & 0xFFFF]
-    out = script[cut.start].copy()
+    out = _SCRIPT[point & 0xFFFF]
     for i in np.flatnonzero(out == 0).tolist():  # words that open with a sign
-        found = script[cut.start[i] : cut.end[i]]
-        out[i] = found[np.argmax(found > 0)] if len(found) else 0
+        letters = cut.data[cut.start[i] : cut.end[i]].tobytes().decode("utf-8", "replace")
+        out[i] = next((s for c in letters if ord(c) < 1 << 16 and (s := _SCRIPT[ord(c)])), 0)
     return out
 
 
@@ -117,8 +114,12 @@ def held_out(doc_id: Column) -> Column:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int = TRAIN_BYTES) -> Model:
     """The model of ``doc_id, text, lang`` rows. At most one row per language and slot or script reaches the driver."""
     known = labelled.filter("text is not null and lang is not null").select("doc_id", "lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("_r", rank).filter(F.col("_r") <= per_language).select("doc_id").distinct()
+    # First within 64 parts of each language, so that no task gets all documents of one.
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    for groups in (["lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+        known = known.withColumn("_r", rank).filter(F.col("_r") <= per_language).drop("_r")
+    chosen = known.select("doc_id").distinct()
     sample = labelled.filter("text is not null and lang is not null").join(chosen, "doc_id", "left_semi").select("lang", F.substring("text", 1, train_bytes).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +152,10 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int
 
 def word_scores(cut: wd.Words, model: Model) -> np.ndarray:
     """(words, languages): log probability of each word; a language that is not of its script is far below the others."""
-    n, width = len(cut.start), len(model.languages)
-    out = np.zeros((n, width), np.float32)
+    # A word is scored once per batch, however often it stands there.
+    _, place, again = np.unique(cut.hash, return_index=True, return_inverse=True)
+    cut = cut._replace(start=cut.start[place], end=cut.end[place])
+    out = np.zeros((len(place), len(model.languages)), np.float32)
     for slots, word in gram_slots(cut):
         values = model.scores[slots]
         starts = np.flatnonzero(np.diff(word, prepend=-1))
@@ -161,7 +164,7 @@ def word_scores(cut: wd.Words, model: Model) -> np.ndarray:
     allowed = model.scripts[script]
     allowed[~allowed.any(1)] = True  # a script nobody was seen in tells nothing
     out[script == 0] = 0  # nor does a word without letter
-    return np.where(allowed, out, out - np.float32(1e4))
+    return np.where(allowed, out, out - np.float32(1e4))[again]
 
 
 def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
