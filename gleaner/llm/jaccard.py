@@ -3,9 +3,8 @@
 Two documents link when 100 * |A and B| >= percent * |A or B| over their distinct shingles of k words.
 
 Index: a set needs only its first n - ceil(percent * n / 100) + 1 shingles in the index, in an order that all sets share:
-shingles counted as unique, then counted shingles from rare to frequent, then the ones that were not counted. Any shared
-order gives the same links; this one keeps unique shingles out of the index and frequent ones out of most prefixes. Half of
-the shingles, by a bit of their hash, are counted exactly (``marks``), which bounds what the count has to shuffle.
+unique shingles, then others from rare to frequent, as counted over all documents (``marks``). Any shared order gives the
+same links; this one keeps unique shingles out of the index and frequent ones out of most prefixes.
 
 Skipping between sets:
 
@@ -49,10 +48,6 @@ ROUNDS = 4
 LEFT_OVER = 2
 STILL_FALLING = 0.7
 
-#: Hashes with this bit unset are counted.
-COUNTED_BIT = np.uint64(1)
-NOT_COUNTED = 255
-
 
 def shingle_sets(part: pa.RecordBatch, k: int, text: str = "text") -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text of a batch."""
@@ -74,8 +69,7 @@ def _counted(docs: DataFrame, bits: int, k: int) -> DataFrame:
         out = marks.Gatherer(bits)
         for part in wd.slices(batches):
             sets = list(shingle_sets(part, k))
-            values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            yield from out.add(values[(values & COUNTED_BIT) == 0])
+            yield from out.add(np.concatenate(sets) if sets else np.zeros(0, np.uint64))
         yield from out.flush()
 
     return docs.select("text").mapInArrow(run, marks.SENT)
@@ -88,7 +82,7 @@ def prefix_length(n: int, percent: int) -> int:
 def index_prefix(found: np.ndarray, table: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and places of the index entries of a set."""
     size = prefix_length(len(found), percent)
-    level = np.where((found & COUNTED_BIT) == 0, marks.look_up(table, found), NOT_COUNTED)
+    level = marks.look_up(table, found)
     unique = int((level == 0).sum())
     if unique >= size:
         return found[:0], np.zeros(0, np.int32)
