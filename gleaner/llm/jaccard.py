@@ -9,13 +9,13 @@ same links; this one keeps unique shingles out of the index and frequent ones ou
 Skipping between sets:
 
 * Equal sets are one class with one entry in the index.
-* In each round every index list offers one pivot set; the other sets of the list are compared with it and, where they
+* In each round every index list offers one pivot set: one without links so far, with the smallest share of shingles of
+  its own, so the one that most others can be close to. The other sets of the list are compared with it and, where they
   link, take its label: their answers are derived from the pivot's, and sets of one label are never paired again. Rounds
   go on while they lower the pairs left over, which are counted and not made.
-* Pairs left over are found between blocks of the lists (one label, sizes and places within
-  a few percent). A pair of blocks is
-  skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped when a set that both
-  were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
+* Pairs left over are found between blocks of the lists (one label, sizes and places within a few percent). A pair of
+  blocks is skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped when a set
+  that both were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
 
 The result are components: a link between sets that are already connected through other links is not looked at again.
 
@@ -151,7 +151,8 @@ def _next_labels(labels: DataFrame, compared: DataFrame) -> DataFrame:
     links = compared.filter("linked")
     both = links.select(F.col("a").alias("s"), F.col("b").alias("doc_id")).unionByName(links.select(F.col("b").alias("s"), F.col("a").alias("doc_id")))
     offered = both.join(labels, "doc_id").groupBy("s").agg(F.min("label").alias("_offer")).withColumnRenamed("s", "doc_id")
-    return labels.join(offered, "doc_id", "left").select("doc_id", F.least("label", "_offer").alias("label"))
+    linked = F.col("linked") | F.col("_offer").isNotNull()
+    return labels.join(offered, "doc_id", "left").select("doc_id", F.least("label", "_offer").alias("label"), linked.alias("linked"))
 
 
 def _left_over(index: DataFrame) -> int:
@@ -163,8 +164,9 @@ def _left_over(index: DataFrame) -> int:
 
 def _against_pivots(index: DataFrame, number: int, percent: int) -> DataFrame:
     """Pairs of each list's pivot of this round with the sets of other labels."""
-    order = F.struct(F.xxhash64("doc_id", F.lit(number)).alias("o"), F.col("doc_id").alias("pivot"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("label").alias("pl"))
-    pivots = index.groupBy("h").agg(F.min(order).alias("p"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h", "p.*")
+    first = [F.col("linked"), (F.col("own") / F.col("n")).alias("share"), F.xxhash64("doc_id", F.lit(number)).alias("o")]
+    order = F.struct(*first, F.col("doc_id").alias("pivot"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("label").alias("pl"))
+    pivots = index.groupBy("h").agg(F.min(order).alias("p"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h", "p.pivot", "p.pn", "p.pp", "p.pl")
     met = index.join(pivots, "h").filter(F.col("label") != F.col("pl"))
     met = met.filter(_may_link(F.col("n"), F.col("place"), F.col("pn"), F.col("pp"), percent))
     return met.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
@@ -220,14 +222,16 @@ def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> D
     classes = stage(own.filter("n > 0 and doc_id is not null").groupBy("sig_a", "sig_b").agg(F.min("doc_id").alias("class_id")), "classes")
 
     listed = sets.filter(F.size("hashes") > 0)
-    heads = listed.select("doc_id", "n", "hashes", "places").join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-    entries = heads.select("doc_id", "n", F.inline(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("place")))).withColumnRenamed("hashes", "h").withColumnRenamed("places", "place")
+    firsts = listed.select("doc_id", "n", "hashes", "places").join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    entries = firsts.select("doc_id", "n", F.inline(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("place")))).withColumnRenamed("hashes", "h").withColumnRenamed("places", "place")
     shared = entries.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x != y").select("h")
     index = stage(entries.join(shared, "h", "left_semi"), "index")
-    kept_sets = stage(listed.select("doc_id", "members").join(index.select("doc_id").distinct(), "doc_id", "left_semi"), "indexed-sets")
+    # ``own``: the places before a set's first entry are shingles that no other set has in its index.
+    heads = stage(index.groupBy("doc_id").agg(F.min("place").alias("own")), "heads")
+    kept_sets = stage(listed.select("doc_id", "members").join(heads, "doc_id", "left_semi"), "indexed-sets")
 
     size = index.count()
-    labels = kept_sets.select("doc_id", F.col("doc_id").alias("label")).distinct()
+    labels = heads.select("doc_id", F.col("doc_id").alias("label"), F.lit(False).alias("linked"))
     tested: list[str] = []
 
     def compare(pairs: DataFrame) -> DataFrame:
@@ -237,7 +241,7 @@ def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> D
 
     left_before = float("inf")
     for number in range(ROUNDS + 1):
-        labelled = stage(index.join(labels, "doc_id"), "index")
+        labelled = stage(index.join(labels, "doc_id").join(heads, "doc_id"), "index")
         left = _left_over(labelled)
         if number == ROUNDS or left <= LEFT_OVER * size or left > STILL_FALLING * left_before:
             break
