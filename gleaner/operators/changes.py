@@ -11,12 +11,17 @@ from gleaner.session import staged
 def latest_per_key(df: DataFrame, key: str, *version: str | Column) -> DataFrame:
     """Keep for each key the row with the highest version.
 
-    An aggregate, not a window: copies of a frequent key are reduced before the shuffle.
-    The version columns together must tell the rows of a key apart.
+    Key, version and a hash of the row are reduced first, by an aggregate: copies of a frequent key are combined before
+    the shuffle and no wide column takes part. The winners are then fetched. Rows that are equal in all columns
+    are one row.
     """
-    others = [c for c in df.columns if c != key]
-    newest = df.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(*version)).alias("_row"))
-    return newest.select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
+    columns = df.columns
+    order = F.struct(*[F.col(v).alias(f"v{i}") if isinstance(v, str) else v.alias(f"v{i}") for i, v in enumerate(version)], row_hash(columns).alias("h"))
+    marked = df.withColumn("_order", order)
+    newest = marked.groupBy(F.col(key).alias("_key")).agg(F.max("_order").alias("_best"), F.count("*").alias("_n"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_order").eqNullSafe(F.col("_best"))
+    won = marked.join(newest, same).select(*columns)
+    return won.dropDuplicates([key])
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:

@@ -141,17 +141,20 @@ def chunk_rows(df: DataFrame, doc_id: str, keep: list[str] | None = None, chunks
     )
 
 
-def neighbour_overlap(
-    df: DataFrame, doc_id: str, chunks: str = "chunks", limit: int = CHUNK_OVERLAP
-) -> DataFrame:
-    """Words each chunk shares with the end of the one before; ``limit`` is the chunker's own overlap."""
+def neighbour_overlap(df: DataFrame, doc_id: str, chunks: str = "chunks") -> DataFrame:
+    """Words each chunk shares with the end of the one before: the most for which end and beginning are equal.
+
+    The search goes up to the length of the shorter chunk, whatever the chunker meant to repeat.
+    """
     split = df.withColumn("_parts", F.transform(chunks, words))
 
     def shared(prev: Column, this: Column) -> Column:
-        lengths = F.sequence(F.lit(0), F.least(F.lit(limit), F.size(prev), F.size(this)))
+        lengths = F.sequence(F.lit(0), F.least(F.size(prev), F.size(this)))
         fits = F.filter(
             lengths,
-            lambda m: F.slice(this, F.lit(1), m) == F.slice(prev, F.size(prev) - m + 1, m),
+            # The first words are compared before any list is cut out.
+            lambda m: (m == 0)
+            | ((F.get(this, F.lit(0)) == F.get(prev, F.size(prev) - m)) & (F.slice(this, F.lit(1), m) == F.slice(prev, F.size(prev) - m + 1, m))),
         )
         return F.array_max(fits)
 

@@ -20,7 +20,6 @@ HTML_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")
 # A line of a table of contents ends in dot leaders and a page number.
 CONTENTS_LINE = r"\.{3,}\s*\d+\s*$"
 CORE_MIN_WORDS = 3
-CORE_MAX_DOCS = 10
 
 
 def decoded(content: Column) -> Column:
@@ -62,12 +61,13 @@ def extract_with(
 
 
 def core_lines(
-    df: DataFrame, doc_id: str, text: str, min_words: int = CORE_MIN_WORDS, max_docs: int = CORE_MAX_DOCS
+    df: DataFrame, doc_id: str, text: str, max_share: float, min_words: int = CORE_MIN_WORDS
 ) -> DataFrame:
     """(doc_id, lines): the lines of a text without short, contents-like and boilerplate ones.
 
-    Boilerplate is a line that stands in more than ``max_docs`` documents. Only line hashes
-    are shuffled to find it; the texts meet their own list of boilerplate hashes at the end.
+    Boilerplate is a line that stands in more than a share ``max_share`` of the documents, so the rule means the same
+    for any size. Only line hashes are shuffled to find it; the texts meet their own list of boilerplate hashes at the
+    end. The hashes of a frequent line are a skewed join key, which adaptive execution splits.
     """
 
     def line_id(line: Column) -> Column:
@@ -78,7 +78,8 @@ def core_lines(
     lines = df.select(doc_id, core.alias("_core"))
     ids = lines.select(doc_id, F.explode_outer(F.array_distinct(F.transform("_core", line_id))).alias("_id"))
     ids = ids.where(F.col("_id").isNotNull())
-    common = ids.groupBy("_id").agg(F.count("*").alias("_docs")).where(F.col("_docs") > max_docs).select("_id")
+    most = max_share * df.count()
+    common = ids.groupBy("_id").agg(F.count("*").alias("_docs")).where(F.col("_docs") > most).select("_id")
     # Both are small next to the texts; written out, Spark knows their size and can broadcast them.
     hits = ids.join(staged(common, "common-lines"), "_id")
     dropped = staged(hits.groupBy(doc_id).agg(F.collect_list("_id").alias("_drop")), "dropped-lines")

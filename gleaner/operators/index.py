@@ -5,18 +5,21 @@ Layout below the index path::
     meta/             one row per published version (append only), with the centres of the
                       buckets and, if the index makes its vectors from text, the model weights
     base-<version>/   key, columns, embedding, version; partitioned by bucket
-    changes/sync=<n>/ upserted and deleted rows of sync n
-
-A sync writes only its change set, whatever the size of the base. A sync number is
-written as a whole or replaced as a whole, so a repeated sync changes nothing. Every row
-has a version; for each key the highest version counts, so a row that comes late or twice
-does not undo a newer one.
+    changes/sync=<n>/writer=<w>/batch=<b>/
+                      upserted and deleted rows of batch b of a writer, the n-th set of the index
+
+A sync writes only its change set, whatever the size of the base. A set belongs to its writer and
+the writer's own batch number: a repeated batch finds its set and changes nothing, and two
+writers never touch the same set. Every row has a version; for each key the highest
+(version, sync, writer) counts, so a row that comes late or twice does not undo a newer one. A
+set without versions of its own takes the present version of each key.
 ``compact`` folds the change sets into the next base and publishes it with a new
 metadata row; a path that is being read is never written.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -31,9 +34,9 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.vectors import norm, unit
 from gleaner.operators import embed, search
+from gleaner.operators.changes import repeated_keys, row_hash
 from gleaner.session import staged
 
-TRAINING_ROWS_PER_BUCKET = 256
 META_SCHEMA = (
     "version bigint, mode string, model_id string, width int, columns array<string>, "
     "applied_sync bigint, centroids array<array<double>>, weights array<double>"
@@ -91,18 +94,15 @@ def normalised(df: DataFrame, vector: str = "embedding") -> DataFrame:
     ).drop("_norm")
 
 
-def training_sample(df: DataFrame, buckets: int, seed: int = 7) -> DataFrame:
-    """About ``TRAINING_ROWS_PER_BUCKET`` rows per bucket, to place the centres of the buckets.
-
-    The sample serves the training only; every row is then assigned to a bucket.
-    """
-    share = min(1.0, TRAINING_ROWS_PER_BUCKET * buckets / max(df.count(), 1))
-    return df if share == 1.0 else df.sample(share, seed)
+def bucket_count(rows: int) -> int:
+    """About the square root of the rows, so that buckets and their number grow alike."""
+    return max(1, round(rows**0.5))
 
 
 def coarse_centroids(training: DataFrame, vector: str, buckets: int, width: int, seed: int = 7) -> np.ndarray:
-    """Centres of the buckets: at most as many as there are different training vectors, and at least one."""
-    different = staged(training.select(F.col(vector).alias("v")).distinct(), "training")
+    """Centres of the buckets: at most as many as there are different vectors, and at least one."""
+    different = training.select(F.col(vector).alias("v"), F.xxhash64(vector).alias("_h")).dropDuplicates(["_h"]).select("v")
+    different = staged(different, "training")
     k = min(buckets, different.count())
     if k < 2:
         return np.zeros((1, width))
@@ -111,18 +111,25 @@ def coarse_centroids(training: DataFrame, vector: str, buckets: int, width: int,
     return np.array(model.clusterCenters())
 
 
-def nearest_centroids(vector: Column, centroids: np.ndarray, n: int) -> Column:
-    """The numbers of the ``n`` nearest centroids, whose table is small: buckets x width.
+def nearest_centroids(spark: SparkSession, vector: Column, centroids: np.ndarray, n: int) -> Column:
+    """The numbers of the ``n`` nearest centroids. Their table, buckets x width, is broadcast once.
 
-    Only the vectors pass through Python; the other columns of the row stay in the JVM.
+    Only the vectors pass through Python; the other columns of the row stay in the JVM. Scores are made in
+    steps, so their matrix stays small for any number of buckets.
     """
+    shared = spark.sparkContext.broadcast(centroids)
+    step = max(1, search.SCORE_BYTES // (8 * len(centroids)))
 
     @F.arrow_udf("array<int>")
     def near(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = search.matrix(batch) if len(batch) else np.zeros((0, centroids.shape[1]))
-            scores = search.score_matrix(rows, centroids, "l2")
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :n].astype(np.int32)
+            centres = shared.value
+            rows = search.matrix(batch) if len(batch) else np.zeros((0, centres.shape[1]))
+            parts = [
+                np.argsort(-search.score_matrix(rows[i : i + step], centres, "l2"), axis=1, kind="stable")[:, :n]
+                for i in range(0, max(len(rows), 1), step)
+            ]
+            order = np.vstack(parts).astype(np.int32)
             offsets = np.arange(0, order.size + 1, order.shape[1], dtype=np.int32)
             yield pa.ListArray.from_arrays(offsets, order.ravel())
 
@@ -130,7 +137,7 @@ def nearest_centroids(vector: Column, centroids: np.ndarray, n: int) -> Column:
 
 
 def _bucketed(df: DataFrame, centroids: np.ndarray) -> DataFrame:
-    return df.withColumn("bucket", nearest_centroids(F.col("embedding"), centroids, 1)[0])
+    return df.withColumn("bucket", nearest_centroids(df.sparkSession, F.col("embedding"), centroids, 1)[0])
 
 
 def _write_base(df: DataFrame, path: str) -> None:
@@ -139,10 +146,16 @@ def _write_base(df: DataFrame, path: str) -> None:
 
 
 def _checked(df: DataFrame, vector: str, width: int) -> DataFrame:
-    """Fail the job that reads a vector of another width; no extra pass over the rows."""
-    message = F.concat(F.lit(f"vector is not {width} wide, key "), F.col("key").cast("string"))
-    fits = F.coalesce(F.size(vector) == width, F.lit(False))
-    return df.withColumn(vector, F.when(fits, F.col(vector)).otherwise(F.raise_error(message)))
+    """Fail the job that reads a vector of another width, or one that holds a NaN."""
+    message = F.concat(F.lit("vector holds NaN, key "), F.col("key").cast("string"))
+    fitting = search.of_width(df, "key", vector, width)
+    return fitting.withColumn(vector, F.when(F.exists(vector, F.isnan), F.raise_error(message)).otherwise(F.col(vector)))
+
+
+def _unique(df: DataFrame, key: str) -> None:
+    copies = repeated_keys(df.select(key), key).first()
+    if copies is not None:
+        raise ValueError(f"key {copies[0]} stands in {copies[1]} rows; keep one with changes.latest_per_key")
 
 
 def create_from_vectors(
@@ -152,32 +165,31 @@ def create_from_vectors(
     width: int,
     columns: list[str],
     model: str = "given",
-    buckets: int = 16,
+    buckets: int | None = None,
     mode: str = "vectors",
     training: DataFrame | None = None,
     weights: np.ndarray | None = None,
     version: str | None = None,
 ) -> Index:
-    """Build an index from precomputed vectors. A vector of another width is an error.
+    """Build an index from precomputed vectors. A vector of another width and a repeated key are errors.
 
-    Keys must be unique. ``version`` names a bigint column; without it all rows have version 0.
-    ``training`` may name the rows to train the buckets on, if they are cheaper to make
-    than a sample of ``rows``.
+    ``version`` names a bigint column; without it all rows have version 0. The buckets are trained on all rows, or on
+    those of ``training`` if given; their number is ``bucket_count`` of the rows if it is not given.
     """
     spark = rows.sparkSession
     number = F.col(version) if version else F.lit(0)
     table = rows.select(F.col(key).alias("key"), *columns, "embedding", number.cast("bigint").alias("version"))
-    if training is None:
-        training = training_sample(rows, buckets)
-    width_known = training.where(F.size("embedding") == width)
-    centroids = coarse_centroids(normalised(width_known), "embedding", buckets, width)
+    _unique(table, "key")
+    wanted = bucket_count(rows.count()) if buckets is None else buckets
+    trained = _checked(table if training is None else training.withColumn("key", F.lit(None)), "embedding", width)
+    centroids = coarse_centroids(normalised(trained), "embedding", wanted, width)
     index = Index(path, 1, mode, model, width, tuple(columns), -1, centroids, np.zeros(0) if weights is None else weights)
     _write_base(_bucketed(normalised(_checked(table, "embedding", width)), centroids), index.base)
     return _publish(spark, index)
 
 
 def create_from_text(
-    counted: DataFrame, path: str, key: str, text: str, columns: list[str], tf: str = "tf", buckets: int = 16
+    counted: DataFrame, path: str, key: str, text: str, columns: list[str], tf: str = "tf", buckets: int | None = None
 ) -> Index:
     """Build an index that makes its own vectors; its weights are frozen and stored with it.
 
@@ -187,7 +199,6 @@ def create_from_text(
     weights = embed.fit_weights(counted, tf)
     model = embed.embedder(weights)
     counted = counted.withColumnRenamed(tf, "tf")
-    training = embed.embed_counts(training_sample(counted, buckets), model)
     keep = [text, *[c for c in columns if c != text]]
     return create_from_vectors(
         embed.embed_counts(counted, model),
@@ -198,7 +209,6 @@ def create_from_text(
         embed.model_id(model),
         buckets=buckets,
         mode="text",
-        training=training,
         weights=weights,
     )
 
@@ -219,44 +229,58 @@ def current_rows(spark: SparkSession, index: Index) -> DataFrame:
     changes = change_sets(spark, index)
     if changes is None:
         return base
-    # Narrow first: only key, version and sync decide which change counts. A key is unique within a sync.
-    heads = changes.groupBy("key").agg(F.max(F.struct("version", "sync")).alias("_head"))
-    heads = staged(
-        heads.select("key", F.col("_head.version").alias("_newer"), F.col("_head.sync").alias("sync")), "heads"
-    )
+    # Narrow first: only these decide which change counts. A key is unique within a set.
+    order = ["version", "sync", "writer", "batch"]
+    heads = changes.groupBy("key").agg(F.max(F.struct(*order)).alias("_head"))
+    heads = staged(heads.select("key", F.col("_head.version").alias("_newer"), *[f"_head.{c}" for c in order[1:]]), "heads")
     marks = heads.select("key", "_newer")
     kept = base.join(marks, "key", "left").where("_newer IS NULL OR _newer < version").drop("_newer")
     late = base.select("key", "version").join(marks, "key").where("_newer < version").select("key")
     late = staged(late, "late")
-    newest = changes.where(~F.col("deleted")).join(heads.select("key", "sync"), ["key", "sync"], "left_semi")
+    newest = changes.where(~F.col("deleted")).join(heads.select("key", *order[1:]), ["key", *order[1:]], "left_semi")
     return kept.unionByName(newest.join(late, "key", "left_anti").select(*base.columns))
 
 
 def change_sets(spark: SparkSession, index: Index) -> DataFrame | None:
     try:
-        changes = spark.read.parquet(f"{index.path}/changes")
+        changes = spark.read.option("basePath", f"{index.path}/changes").parquet(f"{index.path}/changes")
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return changes.where(F.col("sync") > index.applied_sync)
+    return changes.withColumn("writer", F.col("writer").cast("string")).where(F.col("sync") > index.applied_sync)
 
 
 def write_changes(
     spark: SparkSession,
     index: Index,
-    sync: int,
+    batch: int | None = None,
     upserts: DataFrame | None = None,
     deletes: DataFrame | None = None,
     version: str | None = None,
+    writer: str | None = None,
 ) -> None:
-    """Write change set ``sync``: rows to upsert (key, columns, embedding) and keys to delete.
+    """Write one change set: rows to upsert (key, columns, embedding) and keys to delete.
 
-    A key may stand in it once, as an upsert or as a delete.
-    ``version`` names a bigint column of both; without it the number of the sync counts.
+    A key may stand in it once, as an upsert or as a delete. ``version`` names a bigint column of both; without it
+    each key keeps its present version, and the later set counts. ``writer`` and ``batch`` name a set that may be
+    repeated: if it is there, nothing is written. Without them it is a set of its own.
     """
     base = spark.read.parquet(index.base)
-    number = (F.col(version) if version else F.lit(sync + 1)).cast("bigint").alias("version")
+    writer, batch = writer or f"w{uuid.uuid4().hex}", batch or 0
+    changes = change_sets(spark, index)
+    if changes is not None and not changes.where((F.col("writer") == writer) & (F.col("batch") == batch)).isEmpty():
+        return
+    number = F.col(version if version else "_version").cast("bigint").alias("version")
+    both = [df.select("key") for df in (upserts, deletes) if df is not None]
+    _unique(both[0] if len(both) == 1 else both[0].unionByName(both[1]), "key")
+    if version is None:
+        have = current_rows(spark, index).select("key", F.col("version").alias("_version"))
+
+        def versioned(df: DataFrame | None) -> DataFrame | None:
+            return None if df is None else df.join(have, "key", "left").withColumn("_version", F.coalesce("_version", F.lit(0)))
+
+        upserts, deletes = versioned(upserts), versioned(deletes)
     parts = []
     if upserts is not None:
         table = upserts.select("key", *index.columns, "embedding", number)
@@ -269,7 +293,8 @@ def write_changes(
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    rows.write.mode("overwrite").parquet(f"{index.path}/changes/sync={sync}")
+    place = f"sync={last_sync(spark, index) + 1}/writer={writer}/batch={batch}"
+    rows.write.mode("overwrite").parquet(f"{index.path}/changes/{place}")
 
 
 def last_sync(spark: SparkSession, index: Index) -> int:
@@ -289,7 +314,7 @@ def compact(spark: SparkSession, index: Index) -> Index:
 
 
 def create_or_sync(
-    rows: DataFrame, path: str, key: str, width: int, columns: list[str], model: str = "given", buckets: int = 16
+    rows: DataFrame, path: str, key: str, width: int, columns: list[str], model: str = "given", buckets: int | None = None
 ) -> Index:
     """Create the index if there is none; otherwise bring it in step with ``rows``, the whole source.
 
@@ -305,7 +330,7 @@ def create_or_sync(
 
 
 def create_or_sync_text(
-    counted: DataFrame, path: str, key: str, text: str, columns: list[str], tf: str = "tf", buckets: int = 16
+    counted: DataFrame, path: str, key: str, text: str, columns: list[str], tf: str = "tf", buckets: int | None = None
 ) -> Index:
     """The same for an index that makes its own vectors; new rows are embedded with its frozen model."""
     index = open_index(counted.sparkSession, path)
@@ -325,8 +350,8 @@ def _sync(index: Index, source: DataFrame, compared: DataFrame, by: list[str]) -
     so that Spark knows how few they are when it fetches their rows.
     """
     spark = source.sparkSession
-    wanted = compared.select("key", F.xxhash64(*by).alias("_want"))
-    have = current_rows(spark, index).select("key", F.xxhash64(*by).alias("_have"))
+    wanted = compared.select("key", row_hash(by).alias("_want"))
+    have = current_rows(spark, index).select("key", row_hash(by).alias("_have"))
     differ = wanted.join(have, "key", "full_outer").where(~F.col("_want").eqNullSafe(F.col("_have")))
     keys = staged(differ.select("key", F.col("_want").isNull().alias("gone")), "to-sync")
     if keys.isEmpty():
@@ -334,7 +359,6 @@ def _sync(index: Index, source: DataFrame, compared: DataFrame, by: list[str]) -
     write_changes(
         spark,
         index,
-        last_sync(spark, index) + 1,
         upserts=source.join(keys.where("NOT gone").select("key"), "key", "left_semi"),
         deletes=keys.where("gone").select("key"),
     )
@@ -356,21 +380,44 @@ def search_index(
     probes: int | None = None,
     query_id: str = "query_id",
     vector: str = "embedding",
+    where: Column | None = None,
+    within: list[str] | None = None,
     **limits: int,
 ) -> DataFrame:
-    """(query_id, rank, score, key). With ``probes``, only that many nearest buckets are searched."""
+    """(query_id, rank, score, key). With ``probes``, only that many nearest buckets are searched.
+
+    ``where`` filters the rows before ranking; ``within`` names columns of rows and queries that must be equal.
+    """
     check_model(index, model)
     rows = current_rows(spark, index)
+    if where is not None:
+        rows = rows.where(where)
     if probes is None:
-        return search.nearest(rows, queries, k, query_id=query_id, vector=vector, width=index.width, **limits)
-    asked = queries.where(F.size(vector) == index.width).select(
-        F.col(query_id).alias("query_id"), F.col(vector).alias("embedding")
-    )
-    near = nearest_centroids(F.col("embedding"), index.centroids, probes)
-    probed = asked.withColumn("_near", near)
-    spread = staged(probed.select("query_id", "embedding", F.explode("_near").alias("bucket")), "probes")
+        return search.nearest(rows, queries, k, index.width, query_id=query_id, vector=vector, within=within, **limits)
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding"), *(within or []))
+    # The centres are those of vectors of length one.
+    ready = normalised(search.of_width(asked, "query_id", "embedding", index.width))
+    near = nearest_centroids(spark, F.col("embedding"), index.centroids, probes)
+    probed = ready.withColumn("_near", near)
+    spread = staged(probed.select("query_id", "embedding", *(within or []), F.explode("_near").alias("bucket")), "probes")
     # At most as many values as the index has buckets; other partitions are not read.
     wanted = [row.bucket for row in spread.select("bucket").distinct().collect()]
     return search.nearest(
-        rows, spread, k, width=index.width, where=F.col("bucket").isin(wanted), within=["bucket"], **limits
+        rows, spread, k, index.width, where=F.col("bucket").isin(wanted), within=["bucket", *(within or [])], **limits
     )
+
+
+def search_text(
+    spark: SparkSession,
+    index: Index,
+    questions: DataFrame,
+    k: int,
+    columns: list[str] | None = None,
+    where: Column | None = None,
+    within: list[str] | None = None,
+    probes: int | None = None,
+) -> DataFrame:
+    """Ask an index that makes its own vectors: (query_id, rank, score, key, columns) for (query_id, question) rows."""
+    asked = embed.embed_text(questions, "question", load_model(index))
+    found = search_index(spark, index, asked, k, index.model_id, probes, where=where, within=within)
+    return search.with_columns(found, current_rows(spark, index), columns) if columns else found

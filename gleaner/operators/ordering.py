@@ -42,11 +42,6 @@ def running_totals(
     """Add, per group in the given order, the sum of each value up to and including the row."""
     splits = block_splits(df, order, block_rows)
     rows = df.select("*", *[v.cast("bigint").alias(f"_v_{n}") for n, v in totals.items()])
-    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    if not splits:
-        summed = rows.select("*", *[F.sum(f"_v_{n}").over(upto).alias(n) for n in totals])
-        return summed.drop(*[f"_v_{n}" for n in totals])
-
     blocked = with_block(rows, order, splits)
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -14,7 +15,7 @@ from gleaner.operators import (
     answer, changes, chunk, embed, evaluate, extract, index, ordering, prompt, rerank, search,
 )
 from gleaner.plans.stages import (
-    benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table,
+    benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table, user_questions,
 )
 from gleaner.session import ship_package, stage_path, staged
 from gleaner.sources import csv, files, tables
@@ -22,10 +23,12 @@ from gleaner.streaming.sync import file_stream, sync_stream
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-HISTORY_BUDGET = 1000
+HISTORY_BUDGET = 200
+CORE_MAX_SHARE = 0.01
 STUFF_BUDGET = 600
 ANSWER_THRESHOLD = 0.3
 FIT_LIMIT = 400
+SIGN_BITS = 4
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -48,19 +51,20 @@ def md5(column) -> F.Column:
 @query
 def A1_scan_files(spark, sf):
     scanned = files.scan_files(spark, sf, glob="*.parquet")
-    return scanned.select(files.file_name(F.col("path")).alias("file"), F.col("length").alias("n_bytes"))
+    return scanned.select(files.file_name(F.col("path")).alias("file"), F.col("length").alias("n_bytes"), md5("content").alias("content_md5"))
 
 
 @query
 def A2_save_table(spark, sf):
-    saved = tables.save_table(table(spark, sf, "documents"), "raw_documents", stage_path(spark, "raw"))
+    saved = tables.save_table(table(spark, sf, "documents"), _own("raw_documents"), stage_path(spark, "raw"))
     return saved.select("doc_id", md5("text").alias("text_md5"))
 
 
 @query
 def A3_read_table(spark, sf):
-    tables.save_table(table(spark, sf, "documents"), "raw_for_index", stage_path(spark, "raw"))
-    by_name = tables.read_table(spark, "raw_for_index")
+    name = _own("raw_for_index")
+    tables.save_table(table(spark, sf, "documents"), name, stage_path(spark, "raw"))
+    by_name = tables.read_table(spark, name)
     return by_name.groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
 
 
@@ -70,8 +74,13 @@ def _embedding_rows(spark, sf):
     return made.select(F.col("key").alias("id"), F.col("source").alias("pdf_name"), "content", "embedding")
 
 
+def _own(name):
+    """A table name that no user's table has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def _fresh_table(spark, name):
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = _own(name)
     tables.create_table(spark, name, path=stage_path(spark, name))
     tables.create_table(spark, name)
     return name
@@ -101,8 +110,9 @@ def A5_append_rows(spark, sf):
 def A6_csv_round_trip(spark, sf):
     path = stage_path(spark, "eval-csv")
     csv.write_csv(chat_questions(table(spark, sf, "conversations")), path)
-    return csv.read_csv(spark, path).select(
-        F.col("query_id").cast("bigint").alias("query_id"),
+    schema = "query_id bigint, question string, ground_truth string, evolution_type string, episode_done boolean"
+    return csv.read_csv(spark, path, schema, multi_line=True).select(
+        "query_id",
         md5("question").alias("question_md5"),
         md5("ground_truth").alias("truth_md5"),
         "evolution_type",
@@ -125,7 +135,7 @@ def _raw_pages(spark, sf):
 
 @query
 def A8_named_file(spark, sf):
-    raw = tables.save_table(_raw_pages(spark, sf), "raw_pages", stage_path(spark, "pages"))
+    raw = tables.save_table(_raw_pages(spark, sf), _own("raw_pages"), stage_path(spark, "pages"))
     first = raw.agg(F.min("path")).scalar()
     found = files.named_file(raw, first)
     text = extract.html_text(extract.decoded(F.col("content")))
@@ -170,7 +180,7 @@ def B3_join_sections(spark, sf):
 
 @query
 def B4_core_lines(spark, sf):
-    kept = extract.core_lines(table(spark, sf, "documents"), "doc_id", "text")
+    kept = extract.core_lines(table(spark, sf, "documents"), "doc_id", "text", CORE_MAX_SHARE)
     return kept.select("doc_id", F.size("lines").alias("n_lines"), md5(F.array_join("lines", "\n")).alias("lines_md5"))
 
 
@@ -228,6 +238,11 @@ def C7_neighbour_overlap(spark, sf):
     return chunk.neighbour_overlap(chunk.window_chunks(_clean_documents(spark, sf), "text"), "doc_id")
 
 
+@query
+def C7_packed_overlap(spark, sf):
+    return chunk.neighbour_overlap(chunk.packed_chunks(_clean_documents(spark, sf), "text"), "doc_id")
+
+
 @query
 def C8_context_fit(spark, sf):
     return chunk.context_fit(chunk.window_chunks(_clean_documents(spark, sf), "text"), "doc_id", FIT_LIMIT)
@@ -319,8 +334,8 @@ def _vector_index(spark, sf, **options):
 
 
 def _indexed(rows):
-    parts = [F.round(F.col("embedding")[i].cast("double"), 4).alias(f"x{i}") for i in (0, 31, 63)]
-    return rows.select(F.col("key").alias("vec_id"), "label", *parts)
+    steps = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000, 0).cast("bigint").cast("string"))
+    return rows.select(F.col("key").alias("vec_id"), "label", md5(F.array_join(steps, ",")).alias("vector_md5"))
 
 
 @query
@@ -334,22 +349,12 @@ def D6_model_check(spark, sf):
 @query
 def E1_index_vectors(spark, sf):
     made = _vector_index(spark, sf)
-    rows = index.current_rows(spark, made)
-    return _indexed(rows).join(
-        rows.select(
-            F.col("key").alias("vec_id"),
-            F.round(vectors.norm(F.col("embedding")), 6).alias("length"),
-            F.col("bucket").between(0, len(made.centroids) - 1).alias("has_bucket"),
-        ),
-        "vec_id",
-    )
+    return _indexed(index.current_rows(spark, made))
 
 
 @query
 def E2_index_text(spark, sf):
-    made = _text_index(spark, sf)
-    asked = embed.embed_text(benchmark_questions(spark, sf), "question", index.load_model(made))
-    return index.search_index(spark, made, asked, 4, made.model_id)
+    return index.search_text(spark, _text_index(spark, sf), benchmark_questions(spark, sf), 4)
 
 
 @query
@@ -391,6 +396,30 @@ def E4_sync_stream(spark, sf):
     return rows.select("key", "doc_id", "chunk_no", md5("content").alias("content_md5"), F.size("embedding").alias("width"))
 
 
+@query
+def E4_changed_documents(spark, sf):
+    """All documents are delivered; then the French ones come again cut to 100 words and the German ones empty."""
+    documents = table(spark, sf, "documents").withColumn("version", F.lit(1))
+    made = index.create_from_text(prepare(spark, sf)[0], stage_path(spark, "index"), "key", "content", ["doc_id", "chunk_no"])
+    model = index.load_model(made)
+
+    def chunked(batch):
+        rows = chunk_table(batch).join(batch.select("doc_id", "version"), "doc_id")
+        return embed.embed_text(rows, "content", model).select("key", "doc_id", "chunk_no", "content", "embedding", "version")
+
+    folder, checkpoint = stage_path(spark, "deliveries"), stage_path(spark, "checkpoint")
+    shorter = F.array_join(F.slice(tx.words(tx.core_text(F.col("text"))), 1, 100), " ")
+    changed = documents.where("lang IN ('de', 'fr')").withColumns(
+        {"text": F.when(F.col("lang") == "fr", shorter).otherwise(F.lit("")), "version": F.lit(2)}
+    )
+    for delivery in (documents, changed):
+        delivery.write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, documents.schema)
+        sync_stream(stream, made, chunked, checkpoint, "doc_id", "version", owner="doc_id").awaitTermination()
+    rows = index.current_rows(spark, made)
+    return rows.select("key", "doc_id", "chunk_no", md5("content").alias("content_md5"))
+
+
 @query
 def E5_change_feed(spark, sf):
     old = table(spark, sf, "documents").select("doc_id", "text", "source")
@@ -410,9 +439,8 @@ def E6_continuous(spark, sf):
     folder = stage_path(spark, "arrivals")
     first = rows.withColumn("delivery", F.lit(1))
     second = rows.withColumn("embedding", F.transform("embedding", lambda x: -x)).withColumn("delivery", F.lit(2))
-    for arrival in (first, second, first):
-        arrival.coalesce(1).write.mode("append").parquet(folder)
-    stream = file_stream(spark, folder, first.schema, files_per_batch=1)
+    first.write.parquet(folder)
+    stream = file_stream(spark, folder, first.schema)
 
     def keyed(batch):
         return batch.select(F.col("vec_id").alias("key"), "label", "embedding", "delivery")
@@ -421,6 +449,9 @@ def E6_continuous(spark, sf):
         stream, made, keyed, stage_path(spark, "checkpoint"), "vec_id", "delivery", every="1 second"
     )
     running.processAllAvailable()
+    for late in (second, first):  # the second delivery changes every row, the third is an old one again
+        late.write.mode("append").parquet(folder)
+        running.processAllAvailable()
     running.stop()
     return _indexed(index.current_rows(spark, made))
 
@@ -430,7 +461,7 @@ def E7_upsert_delete(spark, sf):
     made = _vector_index(spark, sf)
     rows = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "key")
     turned = rows.where("label = 1").withColumn("embedding", F.transform("embedding", lambda x: -x))
-    index.write_changes(spark, made, 0, upserts=turned, deletes=rows.where("label = 0"))
+    index.write_changes(spark, made, upserts=turned, deletes=rows.where("label = 0").select("key"))
     return _indexed(index.current_rows(spark, index.compact(spark, made)))
 
 
@@ -486,6 +517,14 @@ def F4_filtered_text(spark, sf):
     return search.nearest(corpus, asked, 4, width=embed.VECTOR_WIDTH, where=F.col("lang") != "en")
 
 
+@query
+def F4_index_filtered(spark, sf):
+    chunks, _ = prepare(spark, sf)
+    made = index.create_from_text(chunks, stage_path(spark, "index"), "key", "content", ["lang"])
+    asked = benchmark_questions(spark, sf)
+    return index.search_text(spark, made, asked, 4, where=F.col("lang") != "en", probes=len(made.centroids))
+
+
 @query
 def F5_probed_buckets(spark, sf):
     made = _vector_index(spark, sf)
@@ -493,6 +532,23 @@ def F5_probed_buckets(spark, sf):
     return index.search_index(spark, made, asked, 5, made.model_id, probes=8)
 
 
+@query
+def F5_all_buckets(spark, sf):
+    made = _vector_index(spark, sf)
+    asked = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "query_id")
+    return index.search_index(spark, made, asked, 5, made.model_id, probes=len(made.centroids))
+
+
+@query
+def F5_sign_buckets(spark, sf):
+    """Each query looks into the bucket of its own signs and those one sign away: 5 of 16."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    placed = rows.withColumn("bucket", vectors.sign_bucket(F.col("embedding"), 64, SIGN_BITS))
+    near = F.array(F.col("bucket"), *[F.col("bucket").bitwiseXOR(F.lit(1 << b)) for b in range(SIGN_BITS)])
+    asked = placed.select("vec_id", "embedding", F.explode(near).alias("bucket"))
+    return search.nearest(placed, asked, 5, 64, key="vec_id", query_id="vec_id", within=["bucket"])
+
+
 @query
 def F6_asked_columns(spark, sf):
     chunks, model = prepare(spark, sf)
@@ -512,13 +568,14 @@ def F7_passages(spark, sf):
 @query
 def F8_question_set(spark, sf):
     chunks, model = prepare(spark, sf)
-    return retrieve(chunks, model, chat_questions(table(spark, sf, "conversations")), 2)
+    return retrieve(chunks, model, user_questions(table(spark, sf, "conversations")), 2)
 
 
 @query
 def F9_contexts(spark, sf):
     chunks, model = prepare(spark, sf)
-    lists = search.contexts(retrieve(chunks, model, benchmark_questions(spark, sf), 4, ["content"]))
+    asked = benchmark_questions(spark, sf).select("query_id", "question")
+    lists = search.contexts(retrieve(chunks, model, asked, 4, ["content"]), asked)
     return lists.select("query_id", F.size("context").alias("n_texts"), md5(F.array_join("context", "\n")).alias("context_md5"))
 
 
@@ -557,8 +614,7 @@ def G3_order_changes(spark, sf):
 def _question_contexts(spark, sf, k=2):
     chunks, model = prepare(spark, sf)
     asked = benchmark_questions(spark, sf)
-    lists = search.contexts(retrieve(chunks, model, asked, k, ["content"]))
-    return asked.join(lists, "query_id")
+    return search.contexts(retrieve(chunks, model, asked, k, ["content"]), asked)
 
 
 @query
@@ -591,7 +647,7 @@ def H4_decline(spark, sf):
     asked = benchmark_questions(spark, sf)
     found = retrieve(chunks, model, asked, 2, ["content"])
     best = found.groupBy("query_id").agg(F.max("score").alias("best_score"))
-    answered = answer.best_sentence(asked.join(search.contexts(found), "query_id"), "question", "context")
+    answered = answer.best_sentence(search.contexts(found, asked), "question", "context")
     rows = asked.join(best, "query_id", "left").join(answered.select("query_id", "answer"), "query_id", "left")
     kept = prompt.guarded(F.col("answer"), F.col("best_score"), ANSWER_THRESHOLD)
     return rows.select("query_id", "best_score", kept.alias("answer"))
@@ -614,6 +670,12 @@ def H6_side_by_side(spark, sf):
 
 @query
 def H7_chat_history(spark, sf):
+    rows = prompt.chat_history_rows(table(spark, sf, "conversations"))
+    return rows.select("conv_id", "turn", "earlier_turn", "role", md5("text").alias("text_md5"))
+
+
+@query
+def H7_history_budget(spark, sf):
     made = prompt.chat_history(table(spark, sf, "conversations"), HISTORY_BUDGET)
     return made.select("conv_id", "turn", "n_history", "history_tokens", md5("history").alias("history_md5"))
 
@@ -622,8 +684,8 @@ def H7_chat_history(spark, sf):
 def H8_grounding(spark, sf):
     asked = chat_questions(table(spark, sf, "conversations"))
     chunks, model = prepare(spark, sf)
-    lists = search.contexts(retrieve(chunks, model, asked, 2, ["content"]))
-    ready = staged(asked.join(lists, "query_id"), "answers").withColumn("context_text", prompt.stuffed(F.col("context")))
+    found = retrieve(chunks, model, asked, 2, ["content"])
+    ready = staged(search.contexts(found, asked), "answers").withColumn("context_text", prompt.stuffed(F.col("context")))
     given = answer.best_sentence(ready, "question", "context")
     columns = ["query_id", "supported_share", F.size("unsupported").alias("n_unsupported")]
     with_context = answer.grounding(given, "answer", "context_text").select(*columns)
@@ -640,8 +702,8 @@ def H8_grounding(spark, sf):
 def _evaluation(spark, sf):
     asked = staged(chat_questions(table(spark, sf, "conversations")), "questions")
     chunks, model = prepare(spark, sf)
-    lists = staged(search.contexts(retrieve(chunks, model, asked, 2, ["content"])), "contexts")
-    answers = answer.best_sentence(asked.join(lists, "query_id"), "question", "context")
+    lists = staged(search.contexts(retrieve(chunks, model, asked, 2, ["content"]), asked), "contexts")
+    answers = answer.best_sentence(lists, "question", "context")
     return staged(evaluate.evaluation_table(asked, lists, answers), "evaluation"), model
 
 

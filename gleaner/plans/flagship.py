@@ -17,7 +17,7 @@ def ask(spark: SparkSession, sf_dir: str, k: int = 2) -> DataFrame:
     asked = benchmark_questions(spark, sf_dir)
     found = retrieve(chunks, model, asked, k, ["content"])
     best = found.groupBy("query_id").agg(F.max("score").alias("best_score"))
-    ready = asked.join(search.contexts(found), "query_id").join(best, "query_id")
+    ready = search.contexts(found, asked).join(best, "query_id", "left")
     answered = answer.best_sentence(ready, "question", "context")
 
     def flat(text):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gleaner.functions import text as tx
+from gleaner.functions import vectors
 from gleaner.operators import extract, prompt
 from gleaner.plans import catalog
 
@@ -226,8 +227,32 @@ def template(parts: tuple[str, str, str], context: str, question: str) -> str:
 
 STUFFED = "array_to_string(context, chr(10))"
 QUESTION_CONTEXTS = (*SEARCHED, found(2), CONTEXTS)
-INDEX_SAMPLE = ", ".join(f"round(embedding[{i + 1}]::DOUBLE, 4) AS x{i}" for i in (0, 31, 63))
-TURNED_SAMPLE = ", ".join(f"round(-embedding[{i + 1}]::DOUBLE, 4) AS x{i}" for i in (0, 31, 63))
+
+
+def whole_vector(sign: str = "") -> str:
+    """All dimensions of the vector scaled to length one, in steps of a thousandth."""
+    length = "sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)))"
+    steps = f"list_transform(embedding, lambda x: round(({sign}x::DOUBLE / {length})::FLOAT::DOUBLE * 1000)::BIGINT::VARCHAR)"
+    return f"md5(array_to_string({steps}, ',')) AS vector_md5"
+
+
+INDEX_SAMPLE, TURNED_SAMPLE = whole_vector(), whole_vector("-")
+
+
+def overlaps(source: str) -> str:
+    """Words a chunk shares with the end of the one before, compared word by word."""
+    return f"""
+cw AS (SELECT doc_id, chunk_no, {words('content')} AS w FROM {source})
+SELECT b.doc_id, b.chunk_no, list_max(list_filter(range(0, least(len(a.w), len(b.w)) + 1),
+  lambda m: m = 0 OR (b.w[1] = a.w[len(a.w) - m + 1] AND b.w[1 : m] = a.w[len(a.w) - m + 1 : len(a.w)])))::INT AS shared_words
+FROM cw a JOIN cw b ON a.doc_id = b.doc_id AND b.chunk_no = a.chunk_no + 1"""
+
+
+def sign_bits() -> str:
+    planes = vectors.sign_planes(64, catalog.SIGN_BITS)
+    sides = [f"CASE WHEN list_dot_product(embedding::DOUBLE[], {plane}::DOUBLE[]) >= 0 THEN {1 << b} ELSE 0 END" for b, plane in enumerate(planes)]
+    return " + ".join(sides)
+
 
 
 def nearest_vectors(join: str) -> str:
@@ -246,7 +271,7 @@ def oracle_sql() -> dict[str, str]:
     history = catalog.HISTORY_BUDGET
     return {
         "A1_scan_files": (
-            "SELECT parse_filename(filename) AS file, size::BIGINT AS n_bytes "
+            "SELECT parse_filename(filename) AS file, size::BIGINT AS n_bytes, md5(content) AS content_md5 "
             "FROM read_blob('/root/testdata/sf0.01/*.parquet')"
         ),
         "A2_save_table": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
@@ -289,7 +314,7 @@ WITH lines AS (
     generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 core AS (SELECT * FROM lines
   WHERE len({words('line')}) >= {extract.CORE_MIN_WORDS} AND NOT regexp_matches(line, {quoted(extract.CONTENTS_LINE)})),
-common AS (SELECT line FROM core GROUP BY line HAVING count(DISTINCT doc_id) > {extract.CORE_MAX_DOCS}),
+common AS (SELECT line FROM core GROUP BY line HAVING count(DISTINCT doc_id) > {catalog.CORE_MAX_SHARE} * (SELECT count(*) FROM documents)),
 kept AS (SELECT * FROM core WHERE line NOT IN (SELECT line FROM common)),
 docs AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM kept GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::INT AS n_lines, md5(coalesce(t, '')) AS lines_md5 FROM documents LEFT JOIN docs USING (doc_id)""",
@@ -306,9 +331,8 @@ SELECT doc_id, coalesce(n, 0)::INT AS n_lines, md5(coalesce(t, '')) AS lines_md5
         "C4_packed_chunks": with_ctes(DOCS, PACKED, select=CHUNK_REPORT),
         "C5_chunk_rows": with_ctes(*BASE, select="SELECT key, doc_id, chunk_no FROM chunks"),
         "C6_project": with_ctes(*BASE, select="SELECT source AS pdf_name, md5(content) AS content_md5 FROM chunks"),
-        "C7_neighbour_overlap": with_ctes(
-            *BASE, select=f"SELECT doc_id, chunk_no, {OVERLAP} AS shared_words FROM chunks WHERE chunk_no > 0"
-        ),
+        "C7_neighbour_overlap": "WITH RECURSIVE " + ",".join([*BASE, overlaps("chunks")]),
+        "C7_packed_overlap": "WITH RECURSIVE " + ",".join([DOCS, PACKED, overlaps("chunks")]),
         "C8_context_fit": with_ctes(
             *BASE,
             select=f"""
@@ -336,8 +360,7 @@ UNION ALL SELECT vec_id, len(embedding[1:20])::INT, false FROM embeddings""",
 SELECT vec_id, (generate_subscripts(embedding[1:20], 1) - 1)::INT AS place,
   round(unnest(embedding[1:20])::DOUBLE, 6) AS value FROM embeddings""",
         "D6_model_check": with_ctes(*SEARCHED, found(1), select="SELECT * FROM found"),
-        "E1_index_vectors": f"""
-SELECT vec_id, label, {INDEX_SAMPLE}, 1.0::DOUBLE AS length, true AS has_bucket FROM embeddings""",
+        "E1_index_vectors": f"SELECT vec_id, label, {INDEX_SAMPLE} FROM embeddings",
         "E2_index_text": with_ctes(*SEARCHED, found(4), select="SELECT * FROM found"),
         "E3_create_or_sync": """
 SELECT s::INT AS step, count(*) FILTER (s < 4 OR label <> 0) AS n_rows, count(*) FILTER (s < 4 OR label <> 0) AS n_keys,
@@ -346,6 +369,12 @@ FROM embeddings, range(5) t(s) GROUP BY s""",
         "E4_sync_stream": with_ctes(
             *BASE, select="SELECT key, doc_id, chunk_no, md5(content) AS content_md5, 1024 AS width FROM chunks"
         ),
+        "E4_changed_documents": with_ctes(
+            f"docs AS (SELECT doc_id, source, lang, CASE lang WHEN 'fr' THEN array_to_string(({words(cleaned('text'))})[1:100], ' ') "
+            f"WHEN 'de' THEN '' ELSE {cleaned('text')} END AS text FROM documents)",
+            CHUNKS,
+            select="SELECT key, doc_id, chunk_no, md5(content) AS content_md5 FROM chunks",
+        ),
         "E5_change_feed": f"""
 WITH old AS (SELECT doc_id, text, source FROM documents),
 new AS (
@@ -372,6 +401,15 @@ WITH c AS (
   FROM documents d FULL JOIN labels l USING (doc_id))
 SELECT *, pending = 0 AND orphan = 0 AS complete FROM c""",
         "F1_nearest_vectors": nearest_vectors("true"),
+        "F5_all_buckets": nearest_vectors("true"),
+        "F5_sign_buckets": f"""
+WITH placed AS (SELECT vec_id, embedding, {sign_bits()} AS bucket FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS key,
+    round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score
+  FROM placed q JOIN placed c ON bit_count(xor(q.bucket, c.bucket)) <= 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key)::INT AS rank FROM pairs)
+SELECT query_id, rank, score, key FROM ranked WHERE rank <= 5""",
         "F2_nearest_text": with_ctes(
             *SEARCHED, found(4),
             select="SELECT query_id, rank, score, key, doc_id, chunk_no FROM found JOIN chunks USING (key)",
@@ -381,6 +419,7 @@ SELECT *, pending = 0 AND orphan = 0 AS complete FROM c""",
             select="SELECT query_id, rank, score, md5(content) AS content_md5 FROM found JOIN chunks USING (key)",
         ),
         "F4_filtered": nearest_vectors("q.label = c.label"),
+        "F4_index_filtered": with_ctes(*SEARCHED, found(4, "lang <> 'en'"), select="SELECT * FROM found"),
         "F4_filtered_text": with_ctes(*SEARCHED, found(4, "lang <> 'en'"), select="SELECT * FROM found"),
         "F6_asked_columns": with_ctes(
             *SEARCHED, found(5),
@@ -392,7 +431,12 @@ SELECT *, pending = 0 AND orphan = 0 AS complete FROM c""",
             "md5(string_agg(source || '|' || content, chr(10) ORDER BY rank)) AS passages_md5 "
             "FROM found JOIN chunks USING (key) GROUP BY query_id",
         ),
-        "F8_question_set": with_ctes(DOCS, CHUNKS, CORPUS, CHAT, found(2), select="SELECT * FROM found"),
+        "F8_question_set": with_ctes(
+            DOCS, CHUNKS, CORPUS,
+            f"asked AS (SELECT {key('conv_id', 'turn')} AS query_id, text AS question FROM conversations WHERE role = 'user')",
+            found(2),
+            select="SELECT * FROM found",
+        ),
         "F9_contexts": with_ctes(
             *SEARCHED, found(4), CONTEXTS,
             select=f"SELECT query_id, len(context)::INT AS n_texts, md5({STUFFED}) AS context_md5 FROM ctx",
@@ -442,7 +486,10 @@ SELECT query_id, answer AS best_sentence,
   array_to_string(({words(f"({sentences('context[1]')})[1]")})[1:{tx.ANSWER_TOKENS}], ' ') AS lead_sentence
 FROM answers JOIN ctx USING (query_id)""",
         ),
-        "H7_chat_history": f"""
+        "H7_chat_history": """
+SELECT t.conv_id, t.turn, h.turn AS earlier_turn, h.role, md5(h.text) AS text_md5
+FROM conversations t JOIN conversations h ON h.conv_id = t.conv_id AND h.turn < t.turn""",
+        "H7_history_budget": f"""
 WITH sized AS (SELECT *, greatest(len({words('text')}), 1) AS n FROM conversations),
 upto AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n AS before FROM sized),
 joined AS (

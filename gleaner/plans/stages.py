@@ -53,6 +53,12 @@ def benchmark_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
 
 
+def user_questions(turns: DataFrame) -> DataFrame:
+    """(query_id, question): every user turn, with or without a reply."""
+    asked = turns.where(F.col("role") == "user")
+    return asked.select(chunk_key(F.col("conv_id"), F.col("turn")).alias("query_id"), F.col("text").alias("question"))
+
+
 def chat_questions(turns: DataFrame) -> DataFrame:
     """Evaluation set from conversations: each user turn that got a reply, and the reply as the truth.
 
@@ -80,5 +86,5 @@ def retrieve(
     """Nearest chunks for question texts: (query_id, rank, score, key, columns)."""
     asked = embed.embed_text(questions.select("query_id", "question"), "question", model)
     corpus = embed.embed_counts(chunks.select("key", "tf"), model)
-    found = search.nearest(corpus, asked, k, width=len(embed.weights_of(model)))
+    found = search.nearest(corpus, asked, k, len(embed.weights_of(model)))
     return search.with_columns(found, chunks, columns) if columns else found

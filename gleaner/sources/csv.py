@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Quotes are doubled inside quoted fields; fields may hold commas and line breaks.
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Quotes are doubled inside quoted fields; fields may hold commas.
 
+    Fields with line breaks need ``multi_line``; a file is then read by one task, so write such a table as many files.
     Without a schema the types are inferred, which costs one more pass over the files.
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gleaner.operators import answer, changes, embed, evaluate, extract, ordering, prompt, rerank
+from gleaner.operators import answer, changes, chunk, embed, evaluate, extract, ordering, prompt, rerank
 from gleaner.sources import csv, files, tables
 from gleaner.session import stage_path
 
@@ -93,7 +93,7 @@ def test_core_lines(spark):
     common = "all rights reserved here"
     rows = [(i, f"{common}\nbody text number {i}\nIntro ...... 12\nshort\n{common}") for i in range(4)]
     docs = spark.createDataFrame([*rows, (9, "short")], "doc_id bigint, text string")
-    got = {r.doc_id: r.lines for r in extract.core_lines(docs, "doc_id", "text", max_docs=3).collect()}
+    got = {r.doc_id: r.lines for r in extract.core_lines(docs, "doc_id", "text", 0.6).collect()}
     assert got == {**{i: [f"body text number {i}"] for i in range(4)}, 9: []}
 
 
@@ -101,7 +101,7 @@ def test_csv_keeps_hard_fields(spark):
     rows = [("a, \"b\" 'c'", "x\ny", True), ("trailing ", "ﬁne", False)]
     path = stage_path(spark, "csv")
     csv.write_csv(spark.createDataFrame(rows, "question string, ground_truth string, episode_done boolean"), path)
-    got = csv.read_csv(spark, path)
+    got = csv.read_csv(spark, path, multi_line=True)
     assert got.schema["episode_done"].dataType.simpleString() == "boolean"
     assert sorted(tuple(r) for r in got.collect()) == sorted(rows)
 
@@ -186,6 +186,25 @@ def test_chat_history_of_a_long_conversation(spark):
         assert (row.n_history, row.history_tokens, row.history) == (len(want), 12 - room, "\n".join(want))
 
 
+def test_whole_history_as_rows(spark):
+    turns = spark.createDataFrame([(1, t, "user", str(t)) for t in range(40)] + [(2, 5, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
+    got = sorted((r.turn, r.earlier_turn, r.text) for r in prompt.chat_history_rows(turns).collect())
+    assert got == [(t, e, str(e)) for t in range(40) for e in range(t)]
+
+
+def test_overlap_is_found_whatever_its_length(spark):
+    lists = [["a b c d", "b c d e", "x", "x x", "x x y"]]
+    got = spark.createDataFrame([(1, c) for c in lists], "doc_id bigint, chunks array<string>")
+    assert [r.shared_words for r in chunk.neighbour_overlap(got, "doc_id").orderBy("chunk_no").collect()] == [3, 0, 1, 2]
+
+
+def test_one_row_per_key(spark):
+    rows = [(1, "old", 1), (1, "new", 2), (1, "new", 2), (2, None, None), (None, "n", 3), (None, "m", 4)]
+    df = spark.createDataFrame(rows, "k bigint, t string, v int")
+    got = {(r.k, r.t) for r in changes.latest_per_key(df, "k", "v").collect()}
+    assert got == {(1, "new"), (2, None), (None, "m")}
+
+
 def test_answers_and_grounding(spark):
     rows = spark.createDataFrame(
         [(1, "what is a fox", ["Cats sleep. A fox is red.", "The fox runs."]), (2, "none", [])],

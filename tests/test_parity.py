@@ -11,10 +11,10 @@ QUERIES = registered.queries()
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"F5_probed_buckets"}
+    assert {q for q in set(QUERIES) - set(SQL) if not q.startswith(("op", "pipeline"))} == {"F5_probed_buckets"}
 
 
-@pytest.mark.parametrize("name", list(SQL))
+@pytest.mark.parametrize("name", [n for n in SQL if not n.startswith("op")])
 def test_same_rows(spark, small, name):
     sql = SQL[name].replace("/root/testdata/sf0.01/", small + "/")
     got = QUERIES[name](spark, small).toPandas()

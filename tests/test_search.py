@@ -40,7 +40,7 @@ def found(df):
     return sorted(tuple(r) for r in df.select("query_id", "rank", "key").collect())
 
 
-PLANS = [{}, {"broadcast_bytes": 1, "block_bytes": 8 * 8 * 7}]
+PLANS = [{}, {"broadcast_bytes": 8 * 8 * 7}]
 
 
 @pytest.mark.parametrize("measure", search.MEASURES)
@@ -52,7 +52,7 @@ def test_both_plans_by_brute_force(spark, measure, limits):
     rows[20:45] = rows[20]  # a group of copies with nearly half of all rows: ties go to the smaller key
     queries[3] = rows[20]
     corpus, asked = frames(spark, rows, queries)
-    got = search.nearest(corpus, asked, 4, measure=measure, **limits)
+    got = search.nearest(corpus, asked, 4, 8, measure=measure, **limits)
     assert found(got) == brute(rows, queries, 4, measure)
 
 
@@ -62,16 +62,16 @@ def test_search_within_a_skewed_group(spark, limits):
     rows, queries = rng.normal(size=(50, 8)), rng.normal(size=(18, 8))
     groups = (np.where(np.arange(50) < 35, 1, np.arange(50) % 3), np.arange(18) % 4)
     corpus, asked = frames(spark, rows, queries, groups)
-    got = search.nearest(corpus, asked, 3, within=["label"], **limits)
+    got = search.nearest(corpus, asked, 3, 8, within=["label"], **limits)
     assert found(got) == brute(rows, queries, 3, "cosine", groups)
 
 
 def test_filter_comes_before_the_rank(spark):
     rows = np.eye(8)
     corpus, asked = frames(spark, rows, rows[:1])
-    got = search.nearest(corpus, asked, 2, where=F.col("key") >= 6)
+    got = search.nearest(corpus, asked, 2, 8, where=F.col("key") >= 6)
     assert found(got) == [(0, 1, 6), (0, 2, 7)]
-    none = search.nearest(corpus, asked, 2, where=F.col("key") > 100)
+    none = search.nearest(corpus, asked, 2, 8, where=F.col("key") > 100)
     assert found(none) == []
     listed = search.passages(
         none.withColumn("f", F.lit("")).withColumn("t", F.lit("")), asked, "f", "t"
@@ -79,18 +79,31 @@ def test_filter_comes_before_the_rank(spark):
     assert listed.passages == []
 
 
-def test_wrong_widths_and_missing_vectors_are_left_out(spark):
+def test_wrong_widths_and_missing_vectors_are_refused(spark):
     data = [(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, None), (4, [])]
     corpus = spark.createDataFrame(data, "key bigint, embedding array<float>")
     asked = corpus.select(F.col("key").alias("query_id"), "embedding")
-    assert found(search.nearest(corpus, asked, 5, width=2)) == [(1, 1, 1)]
-    assert found(search.nearest(corpus.limit(0), asked, 5, width=2)) == []
-    assert found(search.nearest(corpus, asked.limit(0), 5, width=2)) == []
+    right, one = corpus.where("key = 1"), asked.where("query_id = 1")
+    assert found(search.nearest(right, one, 5, 2)) == [(1, 1, 1)]
+    assert found(search.nearest(corpus.limit(0), one, 5, 2)) == []
+    assert found(search.nearest(corpus.limit(0), asked.limit(0), 5, 2)) == []
+    for key in (2, 3, 4):
+        with pytest.raises(Exception, match="not 2 wide, key"):
+            search.nearest(corpus.where(F.col("key").isin(1, key)), one, 5, 2).collect()
+        with pytest.raises(Exception, match="not 2 wide, query_id"):
+            search.nearest(right, asked.where(F.col("query_id") == key), 5, 2).collect()
+
+
+def test_questions_without_results_stay(spark):
+    asked = spark.createDataFrame([(1, "a"), (2, "b")], "query_id bigint, question string")
+    hits = spark.createDataFrame([(1, 1, 0.5, 7, "text")], "query_id bigint, rank int, score double, key bigint, content string")
+    got = {r.query_id: (r.question, r.context) for r in search.contexts(hits, asked).collect()}
+    assert got == {1: ("a", ["text"]), 2: ("b", [])}
 
 
 def test_unknown_measure(spark):
     with pytest.raises(ValueError):
-        search.nearest(None, None, 1, measure="manhattan")
+        search.nearest(None, None, 1, 2, measure="manhattan")
 
 
 def test_wide_text_does_not_pass_the_rank(spark, small):
