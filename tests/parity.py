@@ -24,8 +24,11 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)].copy()
     for name in frame.columns:
-        if frame[name].dtype.kind == "f":
-            frame[name] = frame[name].round(9) + 0.0
+        kind, values = frame[name].dtype.kind, frame[name]
+        if values.isna().any() and kind in "fiu" and (values.dropna() % 1 == 0).all():
+            frame[name] = values.astype("Int64")  # pandas holds integers with nulls as either kind
+        elif kind == "f":
+            frame[name] = values.round(9) + 0.0
     return frame.sort_values(list(frame.columns), ignore_index=True)
 
 
