@@ -62,14 +62,14 @@ def _share(a: str, b: str) -> str:
 QUALITY = f"""
 WITH w AS (
        SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, {_words('text')} AS words,
-              list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
        FROM documents),
      p AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8),
      g AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram FROM p),
      twice AS (SELECT doc_id, gram FROM g GROUP BY doc_id, gram HAVING count(*) > 1),
      rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM g JOIN twice USING (doc_id, gram), range(0, 8) t(j) GROUP BY doc_id),
      c AS (
-       SELECT w.doc_id, stratum, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+       SELECT w.doc_id, stratum, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
               coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
               length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^!]', '', 'g')) AS n_marks
@@ -89,7 +89,7 @@ WITH w AS (
        WHERE NOT base_failed GROUP BY ALL),
      t AS (
        SELECT *, CASE WHEN good_out > good * {_RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, good_out::BIGINT + 1),
-                i -> exp(CASE WHEN good = 0 THEN 0 ELSE lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) END + i * ln({_RISK}) + (good - i) * ln(1 - {_RISK})))) END
+                lambda i: exp(CASE WHEN good = 0 THEN 0 ELSE lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) END + i * ln({_RISK}) + (good - i) * ln(1 - {_RISK})))) END
               <= {quality.ERROR} / (SELECT count(DISTINCT (stratum, feature)) FROM n) AS passed
        FROM n),
      s AS (SELECT *, min(CASE WHEN passed THEN NULL ELSE place END) OVER (PARTITION BY stratum, feature) AS stop FROM t),
@@ -108,7 +108,7 @@ WITH parsed AS (
        SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
               list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\\?([^#]*)', 1), '&'),
-                x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS asked
+                lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS asked
        FROM pages),
      formed AS (
        SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/+$', '')
