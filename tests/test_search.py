@@ -1,10 +1,12 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import search
+from gleaner.operators import blocks, search
 from gleaner.plans.stages import benchmark_questions, prepare, retrieve
+from gleaner.session import staged
 
 
 def frames(spark, rows, queries, groups=None):
@@ -40,7 +42,8 @@ def found(df):
     return sorted(tuple(r) for r in df.select("query_id", "rank", "key").collect())
 
 
-PLANS = [{}, {"broadcast_bytes": 8 * 8 * 7}]
+#: One scan with all queries, blocks of both sides that fit one pair, and many small blocks.
+PLANS = [{}, {"broadcast_bytes": 8 * 8 * 7}, {"broadcast_bytes": 8 * 8 * 7, "block_bytes": 600}]
 
 
 @pytest.mark.parametrize("measure", search.MEASURES)
@@ -66,6 +69,31 @@ def test_search_within_a_skewed_group(spark, limits):
     assert found(got) == brute(rows, queries, 3, "cosine", groups)
 
 
+def test_blocks_pair_every_row_with_every_query_of_its_cell_once(spark):
+    """A hot cell, small cells, cells of one side only; no block above its size."""
+    cells = [1] * 300 + [2] * 40 + [3, 4, 5, 6] + [8] * 9
+    rows = staged(spark.createDataFrame([(str(c), i) for i, c in enumerate(cells)], "cell string, a int"), "t")
+    queries = staged(spark.createDataFrame([(str(c), i) for i, c in enumerate([1] * 70 + [2, 2, 3, 4, 7, 8])], "cell string, b int"), "t")
+
+    def meet(left, right):
+        both = left.to_pandas().merge(right.to_pandas(), on="cell")[["a", "b"]]
+        return pa.Table.from_pandas(both.assign(n=len(left), m=len(right)).astype("int32"), preserve_index=False)
+
+    size = F.lit(10)
+    got = blocks.paired(rows, queries, "cell", size, size, meet, "a int, b int, n int, m int", block_bytes=250).toPandas()
+    want = rows.join(queries, "cell").select("a", "b").toPandas()
+    assert sorted(zip(got.a, got.b)) == sorted(zip(want.a, want.b))
+    assert got.n.max() <= 60 and got.m.max() <= 60
+
+
+def test_a_large_query_set_stays_on_the_cluster(spark, small, monkeypatch):
+    rows = spark.read.parquet(f"{small}/embeddings.parquet")
+    monkeypatch.setattr(search, "_by_scan", None)
+    got = search.nearest(rows, rows, 5, key="vec_id", query_id="vec_id", width=64, broadcast_bytes=1000, block_bytes=40_000)
+    monkeypatch.undo()
+    assert found(got) == found(search.nearest(rows, rows, 5, key="vec_id", query_id="vec_id", width=64))
+
+
 def test_filter_comes_before_the_rank(spark):
     rows = np.eye(8)
     corpus, asked = frames(spark, rows, rows[:1])
