@@ -155,6 +155,46 @@ SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
 FROM m
 """
 
+HARD_NEGATIVES = """
+WITH r AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+     s AS (SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, list_inner_product(a.x, r.x)::BIGINT AS score
+           FROM r AS a JOIN r ON a.id % 100 = 0 AND a.id <> r.id),
+     p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+PHRASES = f"""
+WITH pieces AS (
+       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+       FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+     placed AS (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, range(1, 5) AS t(m) WHERE len(words) >= m),
+     f AS (SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY ALL HAVING count(*) >= 30),
+     c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE m >= 2),
+     cuts AS (
+       SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+       FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+       JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:k], ' ')
+       JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(words[k + 1:], ' ')
+       QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+     inner_phrases AS (
+       SELECT lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+       FROM (SELECT lang, words, a, size, unnest(range(1, m - size + 2)) AS i FROM c, range(2, 4) AS t(size) WHERE size < m) GROUP BY ALL),
+     n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM cuts JOIN n USING (lang) LEFT JOIN inner_phrases USING (lang, phrase)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": SUBSTRING,
     "op4_chat_format": CHAT,
@@ -162,4 +202,6 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": URLS,
     "op9_decontaminate": DECONTAMINATE,
     "op10_warc": WARC,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_phrases": PHRASES,
 }

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, decontaminate, jaccard, langid, packing, quality, substring, token_output, urls, warc
+from gleaner.llm import chat, decontaminate, hard_negatives, jaccard, langid, packing, phrases, quality, substring, token_output, urls, warc
 from gleaner.llm.common import read
 from gleaner.session import ship_package, stage_path
 
@@ -99,3 +99,14 @@ def op10_warc(spark, sf):
     return found.select(
         F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to")
     )
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf, "embeddings"), "vec_id", "embedding", moved, F.col("id") % 100 == 0)
+
+
+@query
+def op12_phrases(spark, sf):
+    return phrases.top_phrases(read(spark, sf, "documents"))
