@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, decontaminate, hard_negatives, jaccard, langid, packing, phrases, quality, substring, token_output, urls, warc
+from gleaner.llm import chat, decontaminate, hard_negatives, jaccard, langid, packing, phrases, quality, substring, token_output, toxicity, urls, warc
 from gleaner.llm.common import read
 from gleaner.session import ship_package, stage_path
 
@@ -110,3 +110,11 @@ def op11_hard_negatives(spark, sf):
 @query
 def op12_phrases(spark, sf):
     return phrases.top_phrases(read(spark, sf, "documents"))
+
+
+@query
+def op13_toxicity(spark, sf):
+    docs = read(spark, sf, "documents")
+    scored = toxicity.predict(docs, toxicity.fit(docs, read(spark, sf, "labels")))
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
