@@ -5,7 +5,7 @@ Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends and in
 transforms of the id sequence and of its reverse, each with the suffixes in the order of their first ``DEPTH`` ids, which is all
 that intervals of phrases up to that length need. Phrases are enumerated by extending intervals of both indexes at once, by
 a word on the right (read off the transform of the reverse) or on the left (off the other one); an interval's size is
-the phrase's count. The indexes are written once and read twice:
+the phrase's count. An index lives in its task only; there are two passes, whose shards need not be the same:
 
 1. words and pairs of words go out as 64-bit hashes with their counts. Those that reach the threshold over all shards fill a
    Bloom filter, sized by their number.
@@ -43,7 +43,7 @@ LEAST_COUNT = 30
 DROP_PERCENT = 80
 TOP = 2000
 UNKNOWN = "und"
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 
 #: Bits of the filter per frequent word or pair, and the largest filter. Beyond it false positives only make more rows to sum.
 BITS_PER_KEY, MOST_BITS = 12, 1 << 29
@@ -56,8 +56,6 @@ ENDS[[ord(c) for c in ".,;:!?"]] = ENDS[0x0A:0x0E] = True
 WORD = ~ENDS
 WORD[[0x20, 0x09]] = False
 
-_INDEX = "shard bigint, langs array<string>, lang_of array<int>, words array<string>, forward array<int>, backward array<int>"
-
 
 class Transform(NamedTuple):
     """A Burrows-Wheeler transform: the symbol before each suffix, and the place of the suffix that starts with it."""
@@ -168,64 +166,44 @@ def _strings(cut: wd.Words, place: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(place), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(cut.data[at])).cast(pa.string())
 
 
-def index_shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """One row per shard: its words and the transforms of its ids and of their reverse."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        held, size = [], 0
-
-        def shard() -> pa.RecordBatch:
-            ids, names, lang_of, langs = _sequence(held)
-            values = [pa.array(langs, pa.string()), pa.array(lang_of.astype(np.int32)), names, pa.array(transform_of(ids)), pa.array(transform_of(ids[::-1]))]
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in values]
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names=["shard", "langs", "lang_of", "words", "forward", "backward"])
-
-        for part in wd.slices(batches):
-            held.append(part)
-            size += part.column("text").nbytes // 6  # about a word
-            if size >= shard_words:
-                yield shard()
-                held, size, number = [], 0, number + 1
-        if held:
-            yield shard()
-
-    plain = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    return plain.mapInArrow(build, _INDEX)
-
-
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Index, pa.Array, np.ndarray, np.ndarray, list[str]]]:
+def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tuple[Index, pa.Array, np.ndarray, np.ndarray, list[str]]]:
     """For each shard its index, words, the hash and the language of each word, and the languages."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            names = batch.column("words")[i].values
-            lang_of = batch.column("lang_of")[i].values.to_numpy()
-            langs = batch.column("langs")[i].as_py()
-            forward, backward = (batch.column(c)[i].values.to_numpy() for c in ("forward", "backward"))
-            cut = wd.words(names, np.ones(256, bool))
-            tongue = wd.words(pa.array(langs, pa.string()), np.ones(256, bool))
-            own = np.zeros(len(langs), wd.U)
-            own[wd.text_of_word(tongue)] = tongue.hash  # an empty name has no word
-            yield Index(forward, backward, len(names)), names, wd.mix(cut.hash + own[lang_of] * wd._STEP), lang_of, langs
+
+    def shard(held: list[pa.RecordBatch]) -> tuple[Index, pa.Array, np.ndarray, np.ndarray, list[str]]:
+        ids, names, lang_of, langs = _sequence(held)
+        cut = wd.words(names, np.ones(256, bool))
+        tongue = wd.words(pa.array(langs, pa.string()), np.ones(256, bool))
+        own = np.zeros(len(langs), wd.U)
+        own[wd.text_of_word(tongue)] = tongue.hash  # an empty name has no word
+        index = Index(transform_of(ids), transform_of(ids[::-1]), len(names))
+        return index, names, wd.mix(cut.hash + own[lang_of] * wd._STEP), lang_of, langs
+
+    held, size = [], 0
+    for part in wd.slices(batches):
+        held.append(part)
+        size += part.column("text").nbytes // 6  # about a word
+        if size >= shard_words:
+            yield shard(held)
+            held, size = [], 0
+    if held:
+        yield shard(held)
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return wd.mix((a ^ (a >> wd.U(31))) * wd._STEP + b)
 
 
-def _frequent_hashes(indexes: DataFrame, least: int) -> DataFrame:
+def _frequent_hashes(texts: DataFrame, least: int, shard_words: int) -> DataFrame:
     """(h) of the words and pairs that may reach the threshold: a shared hash can only add to a count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for index, names, hashes, _, _ in _opened(batches):
+        for index, _, hashes, _, _ in _shards(batches, shard_words):
             single = index.single()
             pairs = index.right(single)
             key = np.concatenate([hashes, _pair(*hashes[pairs.words.T - 1])])
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.concatenate([single.count, pairs.count]))], names=["h", "n"])
 
-    return indexes.mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
+    return texts.mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
 
 
 def _bits(h: np.ndarray, size: int) -> np.ndarray:
@@ -265,14 +243,15 @@ def _held(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
     return ((bloom[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0)
 
 
-def count_phrases(indexes: DataFrame, least: int = LEAST_COUNT, most_bits: int = MOST_BITS) -> DataFrame:
+def count_phrases(docs: DataFrame, least: int = LEAST_COUNT, shard_words: int = SHARD_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
     """``lang, n_words, phrase, f`` of the phrases of 1 to ``DEPTH`` words with f >= least; n_words 0: all words of the language."""
-    keys = stage(_frequent_hashes(indexes, least), "frequent-hashes")
-    shared = indexes.sparkSession.sparkContext.broadcast(_bloom(keys, most_bits))
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
+    keys = stage(_frequent_hashes(texts, least, shard_words), "frequent-hashes")
+    shared = docs.sparkSession.sparkContext.broadcast(_bloom(keys, most_bits))
 
     def enumerate_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = shared.value
-        for index, names, hashes, lang_of, langs in _opened(batches):
+        for index, names, hashes, lang_of, langs in _shards(batches, shard_words):
             tongues = pa.array(langs, pa.string())
 
             def rows(found: Phrases) -> pa.RecordBatch:
@@ -301,7 +280,7 @@ def count_phrases(indexes: DataFrame, least: int = LEAST_COUNT, most_bits: int =
             yield rows(three)
             yield rows(joined(index.left(three), 0, 1))
 
-    counted = indexes.mapInArrow(enumerate_phrases, "lang string, n_words int, phrase string, n bigint")
+    counted = texts.mapInArrow(enumerate_phrases, "lang string, n_words int, phrase string, n bigint")
     summed = counted.groupBy("lang", "n_words", "phrase").agg(F.sum("n").alias("f"))
     written = stage(summed.filter((F.col("f") >= least) | (F.col("n_words") == 0)), "phrases")
     shared.destroy()
@@ -333,8 +312,7 @@ def score_phrases(counts: DataFrame, drop_percent: int = DROP_PERCENT) -> DataFr
 
 def top_phrases(docs: DataFrame, top: int = TOP, least: int = LEAST_COUNT, drop_percent: int = DROP_PERCENT, shard_words: int = SHARD_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's first phrases by score and count descending, then phrase."""
-    indexes = stage(index_shards(docs, shard_words), "phrase-indexes")
-    counts = count_phrases(indexes, least, most_bits)
+    counts = count_phrases(docs, least, shard_words, most_bits)
     best = score_phrases(counts, drop_percent)
     order = [F.desc("score"), F.desc("a"), "phrase"]
     # First within 64 parts of each language, so that no task sorts all phrases of one.
