@@ -14,6 +14,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleaner.session import staged
 
@@ -45,7 +46,7 @@ def paired(
     row_bytes: Column,
     query_bytes: Column,
     meet: Callable[[pa.Table, pa.Table], pa.Table],
-    schema: str,
+    schema: str | StructType,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``meet`` of every pair of blocks. It gets the columns of both sides and may find several cells in them.
@@ -63,4 +64,4 @@ def paired(
 
     left = dealt(rows, "_s", "_q", "_i", "_j").groupBy(*PLACE)
     right = dealt(queries, "_q", "_s", "_j", "_i").groupBy(*PLACE)
-    return left.cogroup(right).applyInArrow(lambda a, b: meet(a, b), schema)
+    return left.cogroup(right).applyInArrow(lambda a, b: meet(a.drop_columns(PLACE), b.drop_columns(PLACE)), schema)

@@ -2,8 +2,9 @@
 
 Layout below the index path::
 
-    meta/             one row per published version (append only), with the centres of the
-                      buckets and, if the index makes its vectors from text, the model weights
+    meta/             one row per published version (append only), with the schema of the rows
+                      and, if the index makes its vectors from text, the model weights
+    centres/          the centres of the buckets (``quantiser``)
     base-<version>/   key, columns, embedding, version; partitioned by bucket
     changes/sync=<n>/writer=<w>/batch=<b>/
                       upserted and deleted rows of batch b of a writer, the n-th set of the index
@@ -19,30 +20,39 @@ metadata row; a path that is being read is never written.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gleaner.functions.vectors import norm, unit
-from gleaner.operators import embed, search
+from gleaner.operators import embed, quantiser, search
 from gleaner.operators.changes import repeated_keys, row_hash
 from gleaner.session import staged
 
+#: Queries that choose the number of probes; the sample and its true neighbours are broadcast.
+RECALL_SAMPLE = 1000
+
 META_SCHEMA = (
     "version bigint, mode string, model_id string, width int, columns array<string>, "
-    "applied_sync bigint, centroids array<array<double>>, weights array<double>"
+    "applied_sync bigint, buckets int, schema string, weights array<double>"
 )
 
 
+class Probing(NamedTuple):
+    """How many buckets to search, and the share of true neighbours that the sample found in them."""
+
+    probes: int
+    recall: float
+
+
 @dataclass(frozen=True, eq=False)
 class Index:
     """Metadata of the newest published version."""
@@ -54,13 +64,22 @@ class Index:
     width: int
     columns: tuple[str, ...]
     applied_sync: int
-    centroids: np.ndarray
+    buckets: int
+    schema: str
     weights: np.ndarray
 
     @property
     def base(self) -> str:
         return f"{self.path}/base-{self.version}"
 
+    @property
+    def row_schema(self) -> StructType:
+        """Of the rows of the base, without opening one of its files."""
+        return StructType.fromJson(json.loads(self.schema))
+
+    def centres(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(quantiser.SCHEMA).parquet(f"{self.path}/centres")
+
 
 def open_index(spark: SparkSession, path: str) -> Index | None:
     """The index at a path, or None if nothing was published there."""
@@ -74,14 +93,14 @@ def open_index(spark: SparkSession, path: str) -> Index | None:
         return None
     return Index(
         path, row.version, row.mode, row.model_id, row.width, tuple(row.columns), row.applied_sync,
-        np.array(row.centroids), np.array(row.weights),
+        row.buckets, row.schema, np.array(row.weights),
     )
 
 
 def _publish(spark: SparkSession, index: Index) -> Index:
     row = (
         index.version, index.mode, index.model_id, index.width, list(index.columns), index.applied_sync,
-        index.centroids.tolist(), index.weights.tolist(),
+        index.buckets, index.schema, index.weights.tolist(),
     )
     spark.createDataFrame([row], META_SCHEMA).coalesce(1).write.mode("append").parquet(f"{index.path}/meta")
     return index
@@ -94,50 +113,8 @@ def normalised(df: DataFrame, vector: str = "embedding") -> DataFrame:
     ).drop("_norm")
 
 
-def bucket_count(rows: int) -> int:
-    """About the square root of the rows, so that buckets and their number grow alike."""
-    return max(1, round(rows**0.5))
-
-
-def coarse_centroids(training: DataFrame, vector: str, buckets: int, width: int, seed: int = 7) -> np.ndarray:
-    """Centres of the buckets: at most as many as there are different vectors, and at least one."""
-    different = training.select(F.col(vector).alias("v"), F.xxhash64(vector).alias("_h")).dropDuplicates(["_h"]).select("v")
-    different = staged(different, "training")
-    k = min(buckets, different.count())
-    if k < 2:
-        return np.zeros((1, width))
-    features = different.select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
-    model: KMeansModel = KMeans(k=k, seed=seed, maxIter=5, initMode="random").fit(features)
-    return np.array(model.clusterCenters())
-
-
-def nearest_centroids(spark: SparkSession, vector: Column, centroids: np.ndarray, n: int) -> Column:
-    """The numbers of the ``n`` nearest centroids. Their table, buckets x width, is broadcast once.
-
-    Only the vectors pass through Python; the other columns of the row stay in the JVM. Scores are made in
-    steps, so their matrix stays small for any number of buckets.
-    """
-    shared = spark.sparkContext.broadcast(centroids)
-    step = max(1, search.SCORE_BYTES // (8 * len(centroids)))
-
-    @F.arrow_udf("array<int>")
-    def near(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            centres = shared.value
-            rows = search.matrix(batch) if len(batch) else np.zeros((0, centres.shape[1]))
-            parts = [
-                np.argsort(-search.score_matrix(rows[i : i + step], centres, "l2"), axis=1, kind="stable")[:, :n]
-                for i in range(0, max(len(rows), 1), step)
-            ]
-            order = np.vstack(parts).astype(np.int32)
-            offsets = np.arange(0, order.size + 1, order.shape[1], dtype=np.int32)
-            yield pa.ListArray.from_arrays(offsets, order.ravel())
-
-    return near(vector)
-
-
-def _bucketed(df: DataFrame, centroids: np.ndarray) -> DataFrame:
-    return df.withColumn("bucket", nearest_centroids(df.sparkSession, F.col("embedding"), centroids, 1)[0])
+def _bucketed(df: DataFrame, index: Index) -> DataFrame:
+    return quantiser.place(df, "embedding", index.centres(df.sparkSession), index.width)
 
 
 def _write_base(df: DataFrame, path: str) -> None:
@@ -173,18 +150,22 @@ def create_from_vectors(
 ) -> Index:
     """Build an index from precomputed vectors. A vector of another width and a repeated key are errors.
 
-    ``version`` names a bigint column; without it all rows have version 0. The buckets are trained on all rows, or on
-    those of ``training`` if given; their number is ``bucket_count`` of the rows if it is not given.
+    ``version`` names a bigint column; without it all rows have version 0. The buckets are trained on a bounded sample of
+    the rows, or of those of ``training`` if given; their number follows the square root of the rows if it is not given.
     """
     spark = rows.sparkSession
     number = F.col(version) if version else F.lit(0)
     table = rows.select(F.col(key).alias("key"), *columns, "embedding", number.cast("bigint").alias("version"))
     _unique(table, "key")
-    wanted = bucket_count(rows.count()) if buckets is None else buckets
     trained = _checked(table if training is None else training.withColumn("key", F.lit(None)), "embedding", width)
-    centroids = coarse_centroids(normalised(trained), "embedding", wanted, width)
-    index = Index(path, 1, mode, model, width, tuple(columns), -1, centroids, np.zeros(0) if weights is None else weights)
-    _write_base(_bucketed(normalised(_checked(table, "embedding", width)), centroids), index.base)
+    centres = quantiser.train(normalised(trained), "embedding", trained.count(), width, buckets)
+    centres.write.mode("overwrite").parquet(f"{path}/centres")
+    ready = normalised(_checked(table, "embedding", width))
+    schema = StructType([*ready.schema.fields, StructField("bucket", IntegerType())])
+    weights = np.zeros(0) if weights is None else weights
+    index = Index(path, 1, mode, model, width, tuple(columns), -1, 0, schema.json(), weights)
+    index = replace(index, buckets=index.centres(spark).count())
+    _write_base(_bucketed(ready, index).select(*schema.names), index.base)
     return _publish(spark, index)
 
 
@@ -225,7 +206,7 @@ def current_rows(spark: SparkSession, index: Index) -> DataFrame:
     The keys that changed are written out first, so Spark knows their size: as long as they
     can be broadcast, the base is scanned without a shuffle. ``compact`` keeps it that way.
     """
-    base = spark.read.parquet(index.base)
+    base = spark.read.schema(index.row_schema).parquet(index.base)
     changes = change_sets(spark, index)
     if changes is None:
         return base
@@ -266,7 +247,7 @@ def write_changes(
     each key keeps its present version, and the later set counts. ``writer`` and ``batch`` name a set that may be
     repeated: if it is there, nothing is written. Without them it is a set of its own.
     """
-    base = spark.read.parquet(index.base)
+    row = index.row_schema
     writer, batch = writer or f"w{uuid.uuid4().hex}", batch or 0
     changes = change_sets(spark, index)
     if changes is not None and not changes.where((F.col("writer") == writer) & (F.col("batch") == batch)).isEmpty():
@@ -284,12 +265,12 @@ def write_changes(
     parts = []
     if upserts is not None:
         table = upserts.select("key", *index.columns, "embedding", number)
-        placed = _bucketed(normalised(_checked(table, "embedding", index.width)), index.centroids)
-        parts.append(placed.select(*base.columns).withColumn("deleted", F.lit(False)))
+        placed = _bucketed(normalised(_checked(table, "embedding", index.width)), index)
+        parts.append(placed.select(*row.names).withColumn("deleted", F.lit(False)))
     if deletes is not None:
-        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema if f.name not in ("key", "version")]
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in row if f.name not in ("key", "version")]
         gone = deletes.select("key", number, *empty)
-        parts.append(gone.select(*base.columns).withColumn("deleted", F.lit(True)))
+        parts.append(gone.select(*row.names).withColumn("deleted", F.lit(True)))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -397,9 +378,8 @@ def search_index(
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding"), *(within or []))
     # The centres are those of vectors of length one.
     ready = normalised(search.of_width(asked, "query_id", "embedding", index.width))
-    near = nearest_centroids(spark, F.col("embedding"), index.centroids, probes)
-    probed = ready.withColumn("_near", near)
-    spread = staged(probed.select("query_id", "embedding", *(within or []), F.explode("_near").alias("bucket")), "probes")
+    near = bucket_order(spark, index, ready, probes).select("query_id", "bucket")
+    spread = staged(ready.join(near, "query_id"), "probes")
     # At most as many values as the index has buckets; other partitions are not read.
     wanted = [row.bucket for row in spread.select("bucket").distinct().collect()]
     return search.nearest(
@@ -407,6 +387,51 @@ def search_index(
     )
 
 
+def bucket_order(spark: SparkSession, index: Index, queries: DataFrame, n: int) -> DataFrame:
+    """(query_id, bucket, place): the ``n`` nearest buckets of queries of length one, by a search among the centres."""
+    centres = index.centres(spark).select(F.col("bucket").cast("bigint").alias("key"), F.col("centre").alias("embedding"))
+    near = search.nearest(centres, queries, n, index.width, measure="l2")
+    return near.select("query_id", F.col("key").cast("int").alias("bucket"), F.col("rank").alias("place"))
+
+
+def choose_probes(
+    spark: SparkSession,
+    index: Index,
+    queries: DataFrame,
+    k: int,
+    recall: float = 0.9,
+    query_id: str = "query_id",
+    vector: str = "embedding",
+    itself: bool = True,
+    sample: int = RECALL_SAMPLE,
+) -> Probing:
+    """The fewest buckets that hold the share ``recall`` of the ``k`` nearest rows of a query, measured against exact search.
+
+    For at most ``sample`` queries (the smallest hashes of their ids) the true neighbours are found among all rows; how
+    far down the query's order of buckets each neighbour's bucket stands gives the recall of every number of probes at
+    once. The lower confidence bound of the share has to reach ``recall``, so a small sample takes more probes. With
+    ``itself`` False a query is not its own neighbour, for rows that ask about themselves.
+    """
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding"))
+    asked = asked.orderBy(F.xxhash64("query_id"), "query_id").limit(sample)
+    asked = staged(normalised(search.of_width(asked, "query_id", "embedding", index.width)), "recall-sample")
+    rows = current_rows(spark, index)
+    truth = search.nearest(rows, asked, k if itself else k + 1, index.width)
+    if not itself:
+        truth = search.ranked(truth.where("key <> query_id").drop("rank"), k)
+    truth = staged(truth.select("query_id", "key"), "true-neighbours")
+    held = rows.select("key", "bucket").join(F.broadcast(truth), "key")
+    places = held.join(bucket_order(spark, index, asked, index.buckets), ["query_id", "bucket"])
+    counts = {r.place: r["count"] for r in places.groupBy("place").count().collect()}
+    total, seen = sum(counts.values()), 0
+    for probes in range(1, index.buckets + 1):
+        seen += counts.get(probes, 0)
+        share = seen / max(1, total)
+        if share - 1.645 * (share * (1 - share) / max(1, total)) ** 0.5 >= recall:
+            return Probing(probes, share)
+    return Probing(index.buckets, 1.0)
+
+
 def search_text(
     spark: SparkSession,
     index: Index,

@@ -24,7 +24,8 @@ def best(df):
 def test_reopened_index_is_the_same(spark, made):
     again = index.open_index(spark, made.path)
     assert (again.version, again.mode, again.columns, again.width) == (1, "vectors", ("label",), 64)
-    assert (again.centroids == made.centroids).all()
+    assert again == made or (again.buckets, again.row_schema) == (made.buckets, made.row_schema)
+    assert again.centres(spark).count() == again.buckets == 8
     assert index.open_index(spark, stage_path(spark, "nothing")) is None
 
 
@@ -123,7 +124,7 @@ def test_copies_can_be_indexed(spark, rows):
     for source in (copies, mixed):
         made = index.create_from_vectors(source, stage_path(spark, "ix"), "vec_id", 64, ["label"])
         asked = source.withColumnRenamed("vec_id", "query_id")
-        got = index.search_index(spark, made, asked, 3, made.model_id, probes=len(made.centroids))
+        got = index.search_index(spark, made, asked, 3, made.model_id, probes=made.buckets)
         assert best(got) == best(search.nearest(source, source, 3, key="vec_id", query_id="vec_id", width=64))
 
 
