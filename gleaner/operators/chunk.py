@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import CHUNK_OVERLAP, CHUNK_SIZE, SENTENCE_GAP, chunk_key, words
 
 
-def _window_count(n: Column, size: int, overlap: int) -> Column:
+def window_count(n: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
+    """How many chunks ``window_chunks`` makes of ``n`` words."""
     step = size - overlap
     return F.when(n == 0, 0).otherwise(F.greatest(F.lit(1), F.ceil((n - overlap) / step)).cast("int"))
 
@@ -26,7 +27,7 @@ def window_chunks(
     """Add an array of chunks of at most ``size`` words; neighbours share ``overlap`` words."""
     step = size - overlap
     split = df.withColumn("_words", words(F.col(text)))
-    count = _window_count(F.size("_words"), size, overlap)
+    count = window_count(F.size("_words"), size, overlap)
     chunks = F.transform(
         _starts(count), lambda i: F.array_join(F.slice("_words", i * step + 1, F.lit(size)), " ")
     )

@@ -119,9 +119,10 @@ def _tops(centres: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def place(df: DataFrame, vector: str, centres: DataFrame, width: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with the column ``bucket``. Only the vectors pass through Python where the centres can be broadcast."""
     spark = df.sparkSession
-    names, tops = _tops(centres)
     if centres.count() * width * 8 <= broadcast_bytes:
-        held = centres.select("bucket", "top", "centre").orderBy("bucket").toArrow()
+        held = centres.orderBy("bucket").toArrow()
+        names, first = np.unique(held["top"].to_numpy(), return_index=True)
+        tops = search.matrix(held["top_centre"].take(pa.array(first)))
         own, below = held["top"].to_numpy(), search.matrix(held["centre"])
         shared = spark.sparkContext.broadcast((names, tops, held["bucket"].to_numpy(), own, below))
 
@@ -137,6 +138,7 @@ def place(df: DataFrame, vector: str, centres: DataFrame, width: int, broadcast_
                 yield pa.array(out)
 
         return df.withColumn("bucket", descend(F.col(vector)))
+    names, tops = _tops(centres)
     shared_tops = spark.sparkContext.broadcast(names)
     number = _nearest(spark, F.col(vector), tops)
 

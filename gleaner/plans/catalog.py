@@ -18,7 +18,9 @@ from gleaner.plans.stages import (
     benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table, user_questions,
 )
 from gleaner.session import ship_package, stage_path, staged
-from gleaner.sources import csv, files, tables
+from gleaner.sources import csv, files, tables, versions
+from gleaner.streaming import raw_files
+from gleaner.streaming.keyed import sync_keyed
 from gleaner.streaming.sync import file_stream, sync_stream
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +58,16 @@ def A1_scan_files(spark, sf):
     return scanned.select(files.file_name(F.col("path")).alias("file"), F.col("length").alias("n_bytes"), md5("content").alias("content_md5"))
 
 
+@query
+def A1_file_stream(spark, sf):
+    """The files of the folder, loaded as a stream; a second run adds nothing."""
+    table_path, checkpoint = stage_path(spark, "raw"), stage_path(spark, "checkpoint")
+    for _ in range(2):
+        found = raw_files.sync_files(spark, sf, table_path, checkpoint, glob="*.parquet")
+    n_loads = raw_files.loads(spark, table_path).groupBy("path").agg(F.count("*").alias("n_loads"))
+    return found.join(n_loads, "path").select(files.file_name(F.col("path")).alias("file"), F.col("length").alias("n_bytes"), F.col("digest").alias("sha256"), "n_loads")
+
+
 @query
 def A2_save_table(spark, sf):
     saved = tables.save_table(table(spark, sf, "documents"), _own("raw_documents"), stage_path(spark, "raw"))
@@ -422,6 +434,59 @@ def E4_changed_documents(spark, sf):
     return rows.select("key", "doc_id", "chunk_no", md5("content").alias("content_md5"))
 
 
+@query
+def E4_keyed_state(spark, sf):
+    """The deliveries of ``E4_changed_documents`` and an old one again, settled by the state of the stream."""
+    documents = table(spark, sf, "documents").withColumn("version", F.lit(1).cast("bigint"))
+    made = index.create_from_text(prepare(spark, sf)[0], stage_path(spark, "index"), "key", "content", ["doc_id", "chunk_no"])
+    model = index.load_model(made)
+
+    def chunked(batch):
+        rows = chunk_table(batch).join(batch.select("doc_id", "version"), "doc_id")
+        return embed.embed_text(rows, "content", model).select("key", "doc_id", "chunk_no", "content", "embedding", "version")
+
+    folder, checkpoint = stage_path(spark, "deliveries"), stage_path(spark, "checkpoint")
+    shorter = F.array_join(F.slice(tx.words(tx.core_text(F.col("text"))), 1, 100), " ")
+    changed = documents.where("lang IN ('de', 'fr')").withColumns(
+        {"text": F.when(F.col("lang") == "fr", shorter).otherwise(F.lit("")), "version": F.lit(2).cast("bigint")}
+    )
+    n_chunks = chunk.window_count(F.size(tx.words(tx.core_text(F.col("text")))))
+    for delivery in (documents, changed, documents.where("lang = 'de'")):
+        delivery.write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, documents.schema)
+        sync_keyed(stream, made, chunked, n_chunks, tx.chunk_key, checkpoint, "doc_id", "version").awaitTermination()
+    rows = index.current_rows(spark, made)
+    return rows.select("key", "doc_id", "chunk_no", md5("content").alias("content_md5"))
+
+
+def _versions(spark, sf):
+    """Three versions: all documents; src1 cut and the toxic ones gone; pages added, src2 renamed and src3 as before."""
+    path, first = stage_path(spark, "versions"), table(spark, sf, "documents").select("doc_id", "text", "source")
+    versions.create(first, path, "doc_id")
+    toxic = table(spark, sf, "labels").where("toxic = 1").select("doc_id")
+    cut = first.where("source IN ('src1', 'src3')").withColumn("text", F.substring("text", 1, 100)).join(toxic, "doc_id", "left_anti")
+    versions.commit(spark, path, "doc_id", cut, toxic)
+    added = table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.col("html").alias("text"), F.lit("web").alias("source"))
+    alive = first.join(toxic, "doc_id", "left_anti")
+    renamed = alive.where("source IN ('src2', 'src3')").withColumn("source", F.regexp_replace("source", "^src2$", "src2b"))
+    versions.commit(spark, path, "doc_id", added.unionByName(renamed))
+    return path
+
+
+@query
+def E5_version_feed(spark, sf):
+    """The changes of each version of a table, from the files of its commits."""
+    found = versions.feed(spark, _versions(spark, sf))
+    return found.select("version", "doc_id", "change", "source", md5("text").alias("text_md5"))
+
+
+@query
+def E5_net_feed(spark, sf):
+    """What leads from the first version to the third, taken from the two feeds between them."""
+    found = versions.net_feed(spark, _versions(spark, sf), "doc_id", 1, 3)
+    return found.select("doc_id", "change", "source", md5("text").alias("text_md5"))
+
+
 @query
 def E5_change_feed(spark, sf):
     old = table(spark, sf, "documents").select("doc_id", "text", "source")

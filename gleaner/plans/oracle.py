@@ -265,6 +265,35 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, score, key FROM ranked WHERE rank <= 5"""
 
 
+SHORTENED = with_ctes(
+    f"docs AS (SELECT doc_id, source, lang, CASE lang WHEN 'fr' THEN array_to_string(({words(cleaned('text'))})[1:100], ' ') "
+    f"WHEN 'de' THEN '' ELSE {cleaned('text')} END AS text FROM documents)",
+    CHUNKS,
+    select="SELECT key, doc_id, chunk_no, md5(content) AS content_md5 FROM chunks",
+)
+
+VERSIONS = """
+WITH v1 AS (SELECT doc_id, text, source FROM documents),
+alive AS (SELECT * FROM v1 WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+v2 AS (SELECT doc_id, CASE WHEN source IN ('src1', 'src3') THEN substr(text, 1, 100) ELSE text END AS text, source FROM alive),
+v3 AS (
+  SELECT v2.doc_id, CASE WHEN v2.source = 'src3' THEN v1.text ELSE v2.text END AS text,
+    CASE v2.source WHEN 'src2' THEN 'src2b' ELSE v2.source END AS source FROM v2 JOIN v1 USING (doc_id)
+  UNION ALL SELECT -1 - page_id, html, 'web' FROM pages)
+"""
+
+
+def steps(old: str, new: str) -> str:
+    """The row changes between two tables of (doc_id, text, source)."""
+    other = f"SELECT doc_id FROM {old} JOIN {new} USING (doc_id) WHERE {old}.text <> {new}.text OR {old}.source <> {new}.source"
+    return (
+        f"SELECT doc_id, 'insert' AS change, source, md5(text) AS text_md5 FROM {new} WHERE doc_id NOT IN (SELECT doc_id FROM {old}) "
+        f"UNION ALL SELECT doc_id, 'delete', source, md5(text) FROM {old} WHERE doc_id NOT IN (SELECT doc_id FROM {new}) "
+        f"UNION ALL SELECT doc_id, 'update_pre', source, md5(text) FROM {old} WHERE doc_id IN ({other}) "
+        f"UNION ALL SELECT doc_id, 'update_post', source, md5(text) FROM {new} WHERE doc_id IN ({other})"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     chunked = with_ctes(*BASE, select=CHUNK_REPORT)
     budget = catalog.STUFF_BUDGET
@@ -274,6 +303,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT parse_filename(filename) AS file, size::BIGINT AS n_bytes, md5(content) AS content_md5 "
             "FROM read_blob('/root/testdata/sf0.01/*.parquet')"
         ),
+        "A1_file_stream": (
+            "SELECT parse_filename(filename) AS file, size::BIGINT AS n_bytes, sha256(content) AS sha256, 1::BIGINT AS n_loads "
+            "FROM read_blob('/root/testdata/sf0.01/*.parquet')"
+        ),
         "A2_save_table": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
         "A3_read_table": "SELECT lang, count(*) AS n_docs, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY lang",
         "A4_create_table": with_ctes(
@@ -369,12 +402,11 @@ FROM embeddings, range(5) t(s) GROUP BY s""",
         "E4_sync_stream": with_ctes(
             *BASE, select="SELECT key, doc_id, chunk_no, md5(content) AS content_md5, 1024 AS width FROM chunks"
         ),
-        "E4_changed_documents": with_ctes(
-            f"docs AS (SELECT doc_id, source, lang, CASE lang WHEN 'fr' THEN array_to_string(({words(cleaned('text'))})[1:100], ' ') "
-            f"WHEN 'de' THEN '' ELSE {cleaned('text')} END AS text FROM documents)",
-            CHUNKS,
-            select="SELECT key, doc_id, chunk_no, md5(content) AS content_md5 FROM chunks",
-        ),
+        "E4_keyed_state": SHORTENED,
+        "E4_changed_documents": SHORTENED,
+        "E5_version_feed": VERSIONS + "SELECT 1 AS version, doc_id, 'insert' AS change, source, md5(text) AS text_md5 FROM v1"
+        + "".join(f" UNION ALL SELECT {i + 1}, * FROM ({steps(f'v{i}', f'v{i + 1}')})" for i in (1, 2)),
+        "E5_net_feed": VERSIONS + steps("v1", "v3"),
         "E5_change_feed": f"""
 WITH old AS (SELECT doc_id, text, source FROM documents),
 new AS (
