@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import text as tx
 from gleaner.functions import vectors
 from gleaner.operators import (
-    answer, changes, chunk, embed, evaluate, extract, hash_tables, index, ordering, prompt, rerank, search,
+    answer, boundaries, changes, chunk, embed, evaluate, extract, hash_tables, index, ordering, prompt, rerank, search,
 )
 from gleaner.plans.stages import (
     benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table, user_questions,
@@ -219,6 +219,31 @@ def C1_sentences(spark, sf):
     return split.where("sentence_no IS NOT NULL").select("doc_id", "sentence_no", md5("sentence").alias("sentence_md5"))
 
 
+def _boundary_model(spark, sf):
+    docs = _clean_documents(spark, sf)
+    found = staged(boundaries.abbreviations(boundaries.dot_counts(docs, "text")), "abbreviations")
+    return docs, found
+
+
+@query
+def C1_dot_counts(spark, sf):
+    """What the learned boundaries rest on: each word type with and without a dot."""
+    return boundaries.dot_counts(_clean_documents(spark, sf), "text")
+
+
+@query
+def C1_abbreviations(spark, sf):
+    return _boundary_model(spark, sf)[1]
+
+
+@query
+def C1_learned_sentences(spark, sf):
+    docs, found = _boundary_model(spark, sf)
+    starting = staged(boundaries.starters(docs, "text", found), "starters")
+    cut = boundaries.learned_sentences(docs, "text", "doc_id", found, starting)
+    return cut.select("doc_id", F.size("sentences").alias("n_sentences"), md5(F.array_join("sentences", "\n")).alias("sentences_md5"))
+
+
 @query
 def C2_token_count(spark, sf):
     counted = _clean_documents(spark, sf).select("doc_id", tx.token_count(F.col("text")).alias("n_tokens"))

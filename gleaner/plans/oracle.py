@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gleaner.functions import text as tx
 from gleaner.functions import vectors
-from gleaner.operators import extract, prompt
+from gleaner.operators import boundaries, extract, prompt
 from gleaner.plans import catalog
 
 SIZE, OVERLAP = tx.CHUNK_SIZE, tx.CHUNK_OVERLAP
@@ -294,6 +294,23 @@ def steps(old: str, new: str) -> str:
     )
 
 
+TYPES = f"""
+typed AS (
+  SELECT lower(regexp_replace(regexp_replace(unnest({words('text')}), '{boundaries.OPENERS.replace("'", "''")}', ''), '{boundaries.CLOSERS.replace("'", "''")}', '')) AS t FROM docs),
+bases AS (SELECT regexp_replace(t, '\\.$', '') AS base, t LIKE '%.' AS dot FROM typed),
+dots AS (SELECT base, count_if(dot) AS n_dot, count_if(NOT dot) AS n_plain FROM bases GROUP BY base),
+counted AS (
+  SELECT base, n_dot::BIGINT AS n_dot, n_plain::BIGINT AS n_plain FROM dots WHERE regexp_matches(base, '^\\p{{L}}+(\\.\\p{{L}}+)*$')
+  UNION ALL SELECT '', coalesce(sum(n_dot), 0)::BIGINT, coalesce(sum(n_plain), 0)::BIGINT FROM dots),
+total AS (SELECT (n_dot + n_plain)::DOUBLE AS n, n_dot::DOUBLE AS d FROM counted WHERE base = ''),
+scored AS (
+  SELECT c.*, round(-2 * (n_dot * ln(d / n) + n_plain * ln(1 - d / n) - n_dot * ln(0.99) - n_plain * ln(1 - 0.99))
+      * exp(-length(replace(base, '.', ''))) * (length(base) - length(replace(base, '.', '')) + 1)
+      * pow(length(replace(base, '.', '')), -n_plain), 6) AS score
+  FROM counted c, total WHERE base <> '' AND n_dot >= {boundaries.LEAST_COUNT}),
+abbreviated AS (SELECT * FROM scored WHERE score >= {boundaries.LEAST_SCORE})"""
+
+
 def oracle_sql() -> dict[str, str]:
     chunked = with_ctes(*BASE, select=CHUNK_REPORT)
     budget = catalog.STUFF_BUDGET
@@ -356,6 +373,8 @@ SELECT doc_id, coalesce(n, 0)::INT AS n_lines, md5(coalesce(t, '')) AS lines_md5
             select=f"SELECT doc_id, (generate_subscripts({sentences('text')}, 1) - 1)::INT AS sentence_no, "
             f"md5(unnest({sentences('text')})) AS sentence_md5 FROM docs",
         ),
+        "C1_dot_counts": with_ctes(DOCS, TYPES, select="SELECT * FROM counted"),
+        "C1_abbreviations": with_ctes(DOCS, TYPES, select="SELECT * FROM abbreviated"),
         "C2_token_count": with_ctes(
             DOCS,
             select=f"SELECT doc_id, len({words('text')})::INT AS n_tokens, len({words('text')}) <= {SIZE} AS one_chunk FROM docs",
