@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,40 @@ WORD_CHAR = r"[^\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_collecting: list[list[str]] = []
+_left: dict[str, list[str]] = {}
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Stage files that are made within last until the next scope of the application begins.
+
+    A pipeline stage runs in such a scope: by the time the next one begins, its result has been written and its stage
+    files are no longer read. Files made outside of a scope stay.
+    """
+    app = spark.sparkContext.applicationId
+    remove(spark, _left.pop(app, []))
+    gc.collect()  # plans that are let go give up their shuffle files and broadcasts
+    _collecting.append([])
+    try:
+        yield
+    finally:
+        _left[app] = _collecting.pop()
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that this library has made, wherever Spark keeps them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """Write a stage as Parquet into the shared folder and go on from its files, not from lineage."""
     path = stage_path(df.sparkSession, label)
+    if _collecting:
+        _collecting[-1].append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,10 +9,10 @@ falls into spans of one language. The prediction is the language of most letters
 the mean probability of its label in its spans' total against the best other language there (1 when no other is near).
 
 The model is fitted on a bounded, documented sample of labelled rows (``per_language`` documents of each language, the smallest
-hashes of their ids; the first ``train_bytes`` of each); prediction covers every word of every text.
+hashes of their ids), whole texts; prediction covers every word of every text.
 
 Defined results: a null text or one without letter is ``und`` with score 0. With no labelled document everything is ``und``.
-Ties go to the language that sorts first. Repeated rows are judged alike. No documents give no rows. Extra columns are ignored.
+Ties go to the language that sorts first. More than 32,767 languages are an error. A text of any length is labelled as a whole. Repeated rows are judged alike. No documents give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ SLOTS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 #: Not above spark.sql.optimizer.windowGroupLimitThreshold, so that the sample is cut before the shuffle.
 PER_LANGUAGE = 1000
-TRAIN_BYTES = 20_000
 SMOOTHING = 0.5
 SWITCH = 12.0
 
@@ -111,7 +110,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int = TRAIN_BYTES) -> Model:
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """The model of ``doc_id, text, lang`` rows. At most one row per language and slot or script reaches the driver."""
     known = labelled.filter("text is not null and lang is not null").select("doc_id", "lang")
     # First within 64 parts of each language, so that no task gets all documents of one.
@@ -120,7 +119,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int
         rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
         known = known.withColumn("_r", rank).filter(F.col("_r") <= per_language).drop("_r")
     chosen = known.select("doc_id").distinct()
-    sample = labelled.filter("text is not null and lang is not null").join(chosen, "doc_id", "left_semi").select("lang", F.substring("text", 1, train_bytes).alias("text"))
+    sample = labelled.filter("text is not null and lang is not null").join(chosen, "doc_id", "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -144,6 +143,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int
     counts = sample.mapInArrow(count, "lang string, slot bigint, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     rows = stage(counts, "language-counts").toPandas()
     languages = sorted(rows["lang"].unique())
+    if len(languages) > np.iinfo(np.int16).max:
+        raise ValueError("labels of words are 16 bits wide")
     table = np.zeros((SLOTS + len(NAMES), len(languages)))
     table[rows["slot"].to_numpy(dtype=np.int64), np.searchsorted(languages, rows["lang"].to_numpy(dtype=str)) if languages else []] = rows["n"]
     grams = table[:SLOTS] + SMOOTHING
@@ -170,7 +171,7 @@ def word_scores(cut: wd.Words, model: Model) -> np.ndarray:
 def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     """The best label of each word. ``first`` bounds the texts; all texts of a batch go forward step by step together."""
     counts = np.diff(first)
-    labels = np.zeros(len(scores), np.int8)
+    labels = np.zeros(len(scores), np.int16)
     order = np.argsort(-counts, kind="stable")
     order = order[counts[order] > 0]
     if not len(order):
@@ -180,7 +181,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     # How many texts have a word at each step.
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
     stay = np.empty(scores.shape, bool)
-    best_before = np.empty(len(scores), np.int8)
+    best_before = np.empty(len(scores), np.int16)
     now = scores[at].copy()
     for t in range(1, longest):
         m = int(active[t])

@@ -94,8 +94,8 @@ WITH w AS (
        FROM n),
      s AS (SELECT *, min(CASE WHEN passed THEN NULL ELSE place END) OVER (PARTITION BY stratum, feature) AS stop FROM t),
      best AS (
-       SELECT stratum, feature, arg_max(cutoff, (bad_out - good_out) * 100 - place) AS cutoff FROM s
-       WHERE (stop IS NULL OR place < stop) AND bad_out > good_out GROUP BY stratum, feature),
+       SELECT stratum, feature, arg_max(cutoff, (bad_out - {quality.GOOD_COST} * good_out) * 100 - place) AS cutoff FROM s
+       WHERE (stop IS NULL OR place < stop) AND bad_out > {quality.GOOD_COST} * good_out GROUP BY stratum, feature),
      broken AS (SELECT DISTINCT doc_id FROM v JOIN best USING (stratum, feature) WHERE value > cutoff)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND broken.doc_id IS NULL) AS kept
 FROM f LEFT JOIN broken ON f.doc_id = broken.doc_id

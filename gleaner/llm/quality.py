@@ -7,8 +7,8 @@ rejected, the hypothesis is refused when P(Bin(n, risk) <= k) <= level. The sequ
 is not refused, so all cutoffs of one sequence share one level; the level of each of the m sequences (strata times
 features) is ``error / m`` (Bonferroni). With probability at least ``1 - error`` no chosen rule rejects more than
 ``risk`` of the good documents of its stratum; all rules together reject at most the sum over the features.
-Among the certified cutoffs the one with the most bad less good holdout documents rejected is taken, the most lenient
-on ties, and only if it is above zero. A stratum with too few labels gets no rule and keeps its documents.
+Among the certified cutoffs the one with the most bad less ``GOOD_COST`` times good holdout documents rejected is taken, the
+most lenient on ties, and only if it is above zero. A stratum with too few labels gets no rule and keeps its documents.
 
 Native DataFrame functions only: everything about one text is computed in its row, without a shuffle; only labelled
 rows (four numbers each) are joined and counted, and the counts have one row per stratum, feature and cutoff.
@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import WORD_CHAR, let, stage, words_of
+from gleaner.llm.common import WORD_CHAR, fresh, let, stage, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 REPEAT_WINDOW = 8
@@ -33,7 +33,10 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
 #: Share of good documents that a rule may reject, and probability that any rule of the table breaks it.
-RISK, ERROR = 0.004, 0.05
+#: With twenty sequences (four strata, five features) a stratum needs 197 good labelled documents to certify a cutoff.
+RISK, ERROR = 0.03, 0.05
+#: How many bad documents a cutoff has to reject for each good one.
+GOOD_COST = 20
 
 #: Feature, and its cutoffs from lenient to strict. They are fixed before any label is seen.
 CUTOFFS = {
@@ -164,7 +167,7 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: f
     failed = F.filter("_tests", lambda t: ~t["passed"])
     stop = F.when(F.size(failed) > 0, F.get(failed, 0)["place"]).otherwise(F.lit(1 << 30))
     certified = per.select("_stratum", "feature", F.explode(F.filter("_tests", lambda t: t["place"] < stop)).alias("t"))
-    gain = F.col("t.n_bad_rejected") - F.col("t.n_good_rejected")
+    gain = F.col("t.n_bad_rejected") - GOOD_COST * F.col("t.n_good_rejected")
     best = certified.filter(gain > 0).groupBy("_stratum", "feature").agg(F.max(F.struct(gain.alias("gain"), (-F.col("t.place")).alias("lenient"), "t")).alias("b"))
     return best.select(
         F.col("_stratum").alias("stratum"), "feature", F.col("b.t.cutoff").alias("cutoff"), F.col("b.t.n_good").alias("n_good"),
@@ -172,10 +175,20 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: f
     )
 
 
-def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per document: doc_id, the base counts, ``base_failed``, ``failed_rules`` and ``kept``."""
-    counted = docs.select("doc_id", F.col(stratum).alias("_stratum_in"), text_statistics(F.col("text")).alias("_s"))
-    flat = counted.select("doc_id", "_stratum_in", "_s.*")
+def kept_rows(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The rows of ``docs`` that are kept. Of rows with one id each stands for its own text and stratum."""
+    own = fresh(docs, "text_hash")["text_hash"]
+    marked = docs.withColumn(own, F.xxhash64("text", stratum))
+    judged = judge_quality(docs, labels, stratum, risk, error, F.xxhash64("text", stratum))
+    kept = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    return marked.join(kept, marked.doc_id.eqNullSafe(kept._id) & (marked[own] == kept._mark), "left_semi").drop(own)
+
+
+def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR, mark: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, the base counts, ``base_failed``, ``failed_rules`` and ``kept``; ``mark`` adds a column of its own."""
+    marks = {} if mark is None else {"mark": mark}
+    counted = docs.select("doc_id", F.col(stratum).alias("_stratum_in"), text_statistics(F.col("text")).alias("_s"), *[c.alias(n) for n, c in marks.items()])
+    flat = counted.select("doc_id", "_stratum_in", "_s.*", *marks)
     measured = stage(
         flat.select("*", base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"), *[c.alias(n) for n, c in features().items()]),
         "quality",
@@ -188,5 +201,5 @@ def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", ris
         F.array(*[F.when(F.col(n) > F.element_at("_cutoffs", n), F.lit(n)) for n in CUTOFFS]), lambda x: x.isNotNull()
     )
     return joined.withColumn("failed_rules", broken).select(
-        "doc_id", *STATISTICS, "base_failed", (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), "failed_rules"
+        "doc_id", *STATISTICS, "base_failed", (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), "failed_rules", *marks
     )

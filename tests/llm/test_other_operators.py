@@ -279,3 +279,16 @@ def test_viterbi_against_all_labellings():
         if b > a:
             best = max(product(range(3), repeat=int(b - a)), key=value)
             assert value(tuple(got[a:b])) == pytest.approx(value(best), rel=1e-5)
+
+
+def test_more_than_127_languages_and_long_texts(spark):
+    """Labels are wide enough, and training reads whole texts: what tells a language stands behind 20,000 characters."""
+    ship_package(spark)
+    letters = "abcdefghijklmnopqrst"
+    words = {f"l{i:03d}": "".join(letters[(i // 20 ** k) % 20] for k in range(2)) * 3 for i in range(200)}
+    rows = [(i, ("zz " * 8000 if i == 150 else "") + " ".join([w] * 200), name) for i, (name, w) in enumerate(words.items())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+    asked = spark.createDataFrame([(i, " ".join([w] * 50)) for i, w in enumerate(words.values())], "doc_id bigint, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(asked, model).collect()}
+    assert got == {i: name for i, name in enumerate(words)}

@@ -199,3 +199,23 @@ def test_word_hashes_do_not_depend_on_place():
     h = cut.hash
     assert h[0] == h[3] and h[1] == h[2] == h[4] and h[0] != h[1]
     assert np.array_equal(wd.words(texts.slice(2, 3), lower=True).hash, h[2:])
+
+
+def test_rules_are_certified_where_labels_allow(spark):
+    """At 1,000 documents English gets a rule, at 10,000 every language; hardly a good document goes."""
+    for folder, languages in (("/root/testdata/sf0.01", {"en"}), ("/root/testdata/sf0.1", {"de", "en", "es", "fr"})):
+        docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+        judged = quality.judge_quality(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").filter("not base_failed").toPandas()
+        out = judged[~judged.kept]
+        assert set(out[out.quality == 0].lang) == languages
+        assert (out.quality == 1).sum() <= 0.01 * (judged.quality == 1).sum()
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    data = [(1, good, "en", "x"), (1, "short", "en", "x"), (None, good, None, "x"), (None, None, "en", "x"), (2, good, "en", "x"), (2, good, "en", "y")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, text_hash string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    kept = quality.kept_rows(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.filter("text like 'word%'").collect()))
