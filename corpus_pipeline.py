@@ -6,12 +6,14 @@ earlier document, decontamination takes out benchmark passages, and packing cuts
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import decontaminate, jaccard, packing, quality, substring
-from gleaner.llm.common import read, stage
-from gleaner.session import ship_package
+from gleaner.llm.common import read, remove, scratch
+from gleaner.session import ship_package, stage_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,30 +23,45 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
+def scoped(step):
+    """A stage whose own files go when the next stage begins; by then its result has been written."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with scratch(spark):
+            return step(spark, docs, sf_dir)
+
+    return run_step
+
+
+@scoped
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, unchanged."""
-    kept = quality.judge_quality(docs, read(spark, sf_dir, "labels")).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").select(*COLUMNS)
+    """Documents that the quality rules keep, unchanged. Rows with one id are judged one by one; a null text never stays."""
+    return quality.kept_rows(docs, read(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
+@scoped
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, unchanged."""
     ship_package(spark)
     return jaccard.one_of_each(docs).select(*COLUMNS)
 
 
+@scoped
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that also stand in a smaller one."""
     ship_package(spark)
     return _documents(substring.remove_repeats(docs)[0])
 
 
+@scoped
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages; those that are mostly benchmark go as a whole."""
     ship_package(spark)
     return _documents(decontaminate.remove_spans(docs, read(spark, sf_dir, "benchmark")))
 
 
+@scoped
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences with their ids."""
     ship_package(spark)
@@ -64,7 +81,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """All stages. The result of a stage goes, too, once that of the next is written."""
+    docs, before = read(spark, sf_dir, "documents"), []
     for number, (_, step) in enumerate(STAGES):
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{number}")
+        path = stage_path(spark, f"pipeline-{number}")
+        made = step(spark, docs, sf_dir)
+        made.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        remove(spark, before)
+        before = [path]
     return docs
