@@ -8,7 +8,7 @@ a task is padded.
 
 Shards: a lexical route (most frequent id, then the smallest hash over three consecutive ids) puts near copies and texts of
 one language next to each other; range partitions of (route, document) have equal sizes whatever the number of documents of a
-route, and a task cuts its range into shards of at most ``shard_ids`` ids. The query of a seed are its ``query_terms`` heaviest ids.
+route, and a task cuts its range into shards of at most ``shard_ids`` ids. The query of a seed are all its distinct ids.
 
 Defined results: null text is empty; an empty text is its closing id. Every row of the input is a document of its own, also
 with a repeated or null id. Ties of score go to the document that comes first in the shard. No documents give no rows.
@@ -32,7 +32,8 @@ from gleaner.llm.tokens import Vocabulary, encoder
 
 LENGTH = 1024
 K1, B = 1.2, 0.75
-QUERY_TERMS = 32
+#: An id that stands in more than one of so many documents of a shard has a line of its own.
+DENSE_SHARE = 16
 #: Ids of a shard's documents; also about the ids of a task.
 SHARD_IDS = 4 << 20
 
@@ -40,47 +41,62 @@ TOKENS = "doc_id bigint, route bigint, n bigint, ids binary"
 
 
 def _route(ids: np.ndarray) -> int:
-    often = int(np.bincount(ids[:-1]).argmax()) if len(ids) > 1 else 0
+    found, n = np.unique(ids[:-1], return_counts=True)
+    often = int(found[n.argmax()]) if len(ids) > 1 else 0
     wide = ids.astype(np.uint64)
     least = int(wd.window_hashes(wide, min(3, len(ids))).min() >> np.uint64(33))
     return often << 31 | least
 
 
+#: Route of the rows that hold a task's document frequencies instead of a document.
+_FREQUENCIES = -1
+
+
 def tokenised(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Documents with their ids, and per task a few rows of document frequencies, so that no second pass counts them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).ids
+        own = encoder(vocabulary)
+        total = np.zeros(own.size, np.int64)
         for part in wd.slices(batches):
-            ids = [encode(t) for t in part.column("text").to_pylist()]
+            ids = [own.ids(t) for t in part.column("text").to_pylist()]
+            for x in ids:
+                # A document's own ids, each once.
+                total[np.unique(x)] += 1
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([_route(x) for x in ids], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                 names=["doc_id", "route", "n", "ids"],
             )
+        if total.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None], pa.int64()), pa.array([_FREQUENCIES], pa.int64()), pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["doc_id", "route", "n", "ids"]
+            )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, TOKENS)
 
 
-def document_frequencies(tokens: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
+def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     """In how many documents each id stands. At most one row per id of the vocabulary reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
             for x in batch.column("ids"):
-                total[np.unique(np.frombuffer(x.as_buffer(), kind))] += 1
+                total += np.frombuffer(x.as_buffer(), np.int64)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = tokens.filter(F.col("route") == _FREQUENCIES).select("ids").mapInArrow(run, "id bigint, n bigint")
+    rows = counted.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size, np.int64)
-    for row in rows.toLocalIterator():
-        out[row.id] = row.n
+    out[rows["id"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
 class Shard:
     """BM25 inverted index over the ids of some documents, with the statistics of all."""
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float, query_terms: int = QUERY_TERMS) -> None:
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
         self.n = len(docs)
         terms, weights, owners, self.queries = [], [], [], []
         for i, ids in enumerate(docs):
@@ -89,20 +105,29 @@ class Shard:
             terms.append(found)
             weights.append(weight.astype(np.float32))
             owners.append(np.full(len(found), i, np.int32))
-            heavy = np.lexsort((found, -weight))[:query_terms]
-            self.queries.append(found[heavy])
+            self.queries.append(found)
         terms = np.concatenate(terms)
         order = np.argsort(terms, kind="stable")
         self.owners, self.weights = np.concatenate(owners)[order], np.concatenate(weights)[order]
         self.at = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        # Ids of many documents have a line of weights instead of a list.
+        often = np.flatnonzero(np.diff(self.at) > max(16, self.n // DENSE_SHARE))
+        self.line = np.full(len(idf), -1, np.int32)
+        self.line[often] = np.arange(len(often))
+        self.lines = np.zeros((len(often), self.n), np.float32)
+        for line, t in enumerate(often.tolist()):
+            a, b = self.at[t], self.at[t + 1]
+            self.lines[line, self.owners[a:b]] = self.weights[a:b]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document of the shard for the heaviest terms of the seed."""
-        out = np.zeros(self.n, np.float32)
-        for t in self.queries[seed].tolist():
-            a, b = self.at[t], self.at[t + 1]
-            out[self.owners[a:b]] += self.weights[a:b]
-        return out
+        """BM25 score of every document of the shard for all terms of the seed."""
+        asked = self.queries[seed]
+        line = self.line[asked]
+        out = self.lines[line[line >= 0]].sum(axis=0, dtype=np.float32)
+        rare = asked[line < 0].astype(np.int64)
+        a, n = self.at[rare], self.at[rare + 1] - self.at[rare]
+        places = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return out + np.bincount(self.owners[places], weights=self.weights[places], minlength=self.n).astype(np.float32)
 
 
 class Packer:
@@ -162,7 +187,7 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 
 def pack(
-    docs: DataFrame, vocabulary: Vocabulary | None = None, length: int = LENGTH, shard_ids: int = SHARD_IDS, query_terms: int = QUERY_TERMS, with_ids: bool = True
+    docs: DataFrame, vocabulary: Vocabulary | None = None, length: int = LENGTH, shard_ids: int = SHARD_IDS, with_ids: bool = True
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids``.
 
@@ -173,8 +198,9 @@ def pack(
     own = encoder(vocabulary)
     kind, size = own.kind, own.size
     tokens = stage(tokenised(docs, vocabulary), "tokens")
+    frequencies = document_frequencies(tokens, size)
+    tokens = tokens.filter(F.col("route") != _FREQUENCIES)
     n_docs, n_ids = tokens.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    frequencies = document_frequencies(tokens, kind, size)
     idf = np.log1p((n_docs - frequencies + 0.5) / (frequencies + 0.5))
     # One number per id of the vocabulary.
     shared = docs.sparkSession.sparkContext.broadcast(idf)
@@ -188,7 +214,7 @@ def pack(
         def flush() -> Iterator[pa.RecordBatch]:
             if not arrays:
                 return
-            shard = Shard(arrays, shared.value, mean, query_terms)
+            shard = Shard(arrays, shared.value, mean)
             rows = []
             for d, pieces in packer.order(shard, [len(x) for x in arrays]):
                 for start, took, sequence, offset in pieces:

@@ -72,7 +72,7 @@ def test_neighbours_are_the_best_by_bm25():
         frequencies[np.unique(x)] += 1
     idf = np.log1p((len(arrays) - frequencies + 0.5) / (frequencies + 0.5))
     mean = sum(map(len, arrays)) / len(arrays)
-    shard = packing.Shard(arrays, idf, mean, query_terms=1000)
+    shard = packing.Shard(arrays, idf, mean)
 
     def score(seed, doc):
         total = 0.0
