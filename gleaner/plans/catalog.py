@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import text as tx
 from gleaner.functions import vectors
 from gleaner.operators import (
-    answer, boundaries, changes, chunk, embed, evaluate, extract, hash_tables, index, ordering, prompt, rerank, search,
+    answer, boundaries, changes, chunk, distributional, embed, evaluate, extract, hash_tables, index, ordering, prompt, rerank, search,
 )
 from gleaner.plans.stages import (
     benchmark_questions, chat_questions, chunk_table, prepare, prepared_frequencies, retrieve, table, user_questions,
@@ -323,6 +323,29 @@ def D1_embedding(spark, sf):
     return long.select("key", "bucket", F.round(F.col("weight").cast("double"), 4).alias("weight"))
 
 
+@query
+def D1_cooccurrence(spark, sf):
+    """The matrix that the distributional vectors are made from."""
+    docs = _clean_documents(spark, sf)
+    vocabulary = distributional.fit_vocabulary(docs, "text")
+    found = distributional.positive_pmi(distributional.pair_counts(docs, "text", vocabulary))
+    names = spark.createDataFrame(list(enumerate(vocabulary.terms)), "number int, term string")
+    named = found.join(names.select(F.col("number").alias("a"), F.col("term").alias("term_a")), "a")
+    return named.join(names.select(F.col("number").alias("b"), F.col("term").alias("term_b")), "b").select("term_a", "term_b", "n", "value")
+
+
+@query
+def F2_distributional(spark, sf):
+    """Questions and chunks by vectors that were learned from the chunks, searched in an index of its own model."""
+    chunks, _ = prepare(spark, sf)
+    model = distributional.fit(chunks, "content")
+    made = index.create_from_vectors(
+        distributional.embed_text(chunks.select("key", "doc_id", "content"), "content", model), stage_path(spark, "index"), "key", distributional.WIDTH, ["doc_id"], model.model_id
+    )
+    asked = distributional.embed_text(benchmark_questions(spark, sf), "question", model)
+    return index.search_index(spark, made, asked, 4, model.model_id)
+
+
 @query
 def D2_request_groups(spark, sf):
     grouped = ordering.request_groups(
@@ -568,6 +591,15 @@ def E8_repeated_keys(spark, sf):
     return changes.repeated_keys(table(spark, sf, "documents").select(md5("text").alias("text_key")), "text_key")
 
 
+@query
+def E9_index_completeness(spark, sf):
+    """An index with changes against its source: what is in it, what is pending and what the source no longer has."""
+    rows = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "key")
+    made = index.create_from_vectors(rows.where("label <> 3"), stage_path(spark, "index"), "key", 64, ["label"])
+    index.write_changes(spark, made, upserts=rows.where("label = 3 AND key % 2 = 0"), deletes=rows.where("label = 4").select("key"))
+    return changes.completeness(rows.where("label <> 5"), index.current_rows(spark, index.open_index(spark, made.path)), "key")
+
+
 @query
 def E9_completeness(spark, sf):
     return changes.completeness(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gleaner.functions import text as tx
 from gleaner.functions import vectors
-from gleaner.operators import boundaries, extract, prompt
+from gleaner.operators import boundaries, distributional, extract, prompt
 from gleaner.plans import catalog
 
 SIZE, OVERLAP = tx.CHUNK_SIZE, tx.CHUNK_OVERLAP
@@ -311,6 +311,21 @@ scored AS (
 abbreviated AS (SELECT * FROM scored WHERE score >= {boundaries.LEAST_SCORE})"""
 
 
+PAIRS = f"""
+t AS (SELECT row_number() OVER () AS row, {terms('text')} AS terms FROM docs),
+vocabulary AS (
+  SELECT term FROM (SELECT unnest(list_distinct(terms)) AS term FROM t) GROUP BY term HAVING count(*) >= {distributional.LEAST_DOCUMENTS}
+  ORDER BY count(*) DESC, term LIMIT {distributional.VOCABULARY}),
+placed AS (SELECT row, unnest(terms) AS term, generate_subscripts(terms, 1) AS i FROM t),
+known AS (SELECT * FROM placed SEMI JOIN vocabulary USING (term)),
+apart AS (SELECT x.term AS term_a, y.term AS term_b FROM known x, range(1, {distributional.WINDOW + 1}) AS d(k), known y WHERE y.row = x.row AND y.i = x.i + k),
+counted AS (SELECT term_a, term_b, count(*) AS n FROM (SELECT * FROM apart UNION ALL SELECT term_b, term_a FROM apart) GROUP BY ALL),
+sums AS (SELECT term_a AS term, sum(n) AS s FROM counted GROUP BY term_a),
+matrix AS (
+  SELECT term_a, term_b, n, round(ln(n * (SELECT sum(n) FROM counted)::DOUBLE / (a.s::DOUBLE * b.s::DOUBLE)), {distributional.PLACES}) AS value
+  FROM counted JOIN sums a ON a.term = term_a JOIN sums b ON b.term = term_b WHERE n >= {distributional.LEAST_PAIRS})"""
+
+
 def oracle_sql() -> dict[str, str]:
     chunked = with_ctes(*BASE, select=CHUNK_REPORT)
     budget = catalog.STUFF_BUDGET
@@ -438,6 +453,11 @@ UNION ALL SELECT doc_id, 'delete', source, md5(text) FROM old WHERE doc_id NOT I
 UNION ALL SELECT doc_id, 'update_pre', source, md5(text) FROM old WHERE doc_id IN (SELECT doc_id FROM changed)
 UNION ALL SELECT doc_id, 'update_post', source, md5(text) FROM new WHERE doc_id IN (SELECT doc_id FROM changed)""",
         "E6_continuous": f"SELECT vec_id, label, {TURNED_SAMPLE} FROM embeddings",
+        "D1_cooccurrence": with_ctes(DOCS, PAIRS, select="SELECT * FROM matrix WHERE value > 0"),
+        "E9_index_completeness": """
+SELECT count_if(have AND label <> 5)::BIGINT AS indexed, count_if(NOT have AND label <> 5)::BIGINT AS pending, count_if(have AND label = 5)::BIGINT AS orphan,
+  count_if(have = (label = 5)) = 0 AS complete
+FROM (SELECT vec_id, label, label <> 4 AND (label <> 3 OR vec_id % 2 = 0) AS have FROM embeddings)""",
         "E7_upsert_delete": f"""
 SELECT vec_id, label, {INDEX_SAMPLE} FROM embeddings WHERE label NOT IN (0, 1)
 UNION ALL SELECT vec_id, label, {TURNED_SAMPLE} FROM embeddings WHERE label = 1""",
