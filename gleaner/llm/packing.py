@@ -40,9 +40,9 @@ SHARD_IDS = 4 << 20
 TOKENS = "doc_id bigint, route bigint, n bigint, ids binary"
 
 
-def _route(ids: np.ndarray) -> int:
-    found, n = np.unique(ids[:-1], return_counts=True)
-    often = int(found[n.argmax()]) if len(ids) > 1 else 0
+def _route(ids: np.ndarray, found: np.ndarray, counts: np.ndarray) -> int:
+    """``found`` are the document's different ids, ``counts`` how often each stands there, the closing id included."""
+    often = int(found[(counts - (found == ids[-1])).argmax()]) if len(ids) > 1 else 0
     wide = ids.astype(np.uint64)
     least = int(wd.window_hashes(wide, min(3, len(ids))).min() >> np.uint64(33))
     return often << 31 | least
@@ -60,11 +60,13 @@ def tokenised(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         total = np.zeros(own.size, np.int64)
         for part in wd.slices(batches):
             ids = [own.ids(t) for t in part.column("text").to_pylist()]
+            routes = []
             for x in ids:
-                # A document's own ids, each once.
-                total[np.unique(x)] += 1
+                found, counts = np.unique(x, return_counts=True)
+                total[found] += 1
+                routes.append(_route(x, found, counts))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([_route(x) for x in ids], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
+                [part.column("doc_id"), pa.array(routes, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                 names=["doc_id", "route", "n", "ids"],
             )
         if total.any():
@@ -118,16 +120,27 @@ class Shard:
         for line, t in enumerate(often.tolist()):
             a, b = self.at[t], self.at[t + 1]
             self.lines[line, self.owners[a:b]] = self.weights[a:b]
+        #: The documents that still have scores, in order.
+        self.live = np.arange(self.n)
+
+    def keep(self, wanted: np.ndarray) -> None:
+        """Go on with fewer documents: those of ``wanted``, a flag for each of the shard."""
+        kept = wanted[self.live]
+        place = np.cumsum(kept) - 1
+        held = kept[self.owners]
+        self.at = np.concatenate(([0], np.cumsum(held)))[self.at]
+        self.owners, self.weights = place[self.owners[held]].astype(np.int32), self.weights[held]
+        self.lines, self.live = np.ascontiguousarray(self.lines[:, kept]), self.live[kept]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document of the shard for all terms of the seed."""
+        """BM25 score of every live document of the shard for all terms of the seed."""
         asked = self.queries[seed]
         line = self.line[asked]
         out = self.lines[line[line >= 0]].sum(axis=0, dtype=np.float32)
         rare = asked[line < 0].astype(np.int64)
         a, n = self.at[rare], self.at[rare + 1] - self.at[rare]
         places = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return out + np.bincount(self.owners[places], weights=self.weights[places], minlength=self.n).astype(np.float32)
+        return out + np.bincount(self.owners[places], weights=self.weights[places], minlength=len(self.live)).astype(np.float32)
 
 
 class Packer:
@@ -171,16 +184,21 @@ class Packer:
     @staticmethod
     def _neighbours(shard: Shard, seed: int, unused: np.ndarray, most: int = 16) -> Iterator[int]:
         """Unused neighbours, the best first. Beyond the first few the whole list is ordered."""
-        scores = np.where(unused, shard.scores(seed), 0)
-        if shard.n > 4 * most:
-            edge = np.partition(scores, shard.n - most)[shard.n - most]
+        left = unused[shard.live]
+        if 2 * np.count_nonzero(left) < len(left):
+            shard.keep(unused)
+            left = unused[shard.live]
+        live = shard.live
+        scores = np.where(left, shard.scores(seed), 0)
+        if len(live) > 4 * most:
+            edge = np.partition(scores, len(live) - most)[len(live) - most]
             top = np.flatnonzero(scores > edge)
             best = top[np.argsort(-scores[top], kind="stable")]
-            yield from best[scores[best] > 0].tolist()
+            yield from live[best[scores[best] > 0]].tolist()
             rest = np.flatnonzero((scores <= edge) & (scores > 0))
         else:
             rest = np.flatnonzero(scores > 0)
-        yield from rest[np.argsort(-scores[rest], kind="stable")].tolist()
+        yield from live[rest[np.argsort(-scores[rest], kind="stable")]].tolist()
 
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
