@@ -47,11 +47,17 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
-def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-    """Write a stage as Parquet into the shared folder and go on from its files, not from lineage."""
-    path = stage_path(df.sparkSession, label)
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path that goes with the scope, if there is one."""
+    path = stage_path(spark, label)
     if _collecting:
         _collecting[-1].append(path)
+    return path
+
+
+def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
+    """Write a stage as Parquet into the shared folder and go on from its files, not from lineage."""
+    path = scratch_path(df.sparkSession, label)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

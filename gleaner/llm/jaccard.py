@@ -36,9 +36,8 @@ from pyspark.sql import functions as F
 
 from gleaner.llm import marks
 from gleaner.llm import words as wd
-from gleaner.llm.common import stage
+from gleaner.llm.common import scratch_path, stage
 from gleaner.llm.components import components
-from gleaner.session import stage_path
 
 SHINGLE = 5
 PERCENT = 80
@@ -235,7 +234,7 @@ def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> D
     tested: list[str] = []
 
     def compare(pairs: DataFrame) -> DataFrame:
-        tested.append(stage_path(spark, "compared"))
+        tested.append(scratch_path(spark, "compared"))
         _verified(pairs, kept_sets, percent).write.parquet(tested[-1])
         return spark.read.schema(COMPARED).parquet(tested[-1])
 
