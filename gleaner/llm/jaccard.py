@@ -9,19 +9,24 @@ same links; this one keeps unique shingles out of the index and frequent ones ou
 Skipping between sets:
 
 * Equal sets are one class with one entry in the index.
-* In each round every index list offers one pivot set: one without links so far, with the smallest share of shingles of
-  its own, so the one that most others can be close to. The other sets of the list are compared with it and, where they
-  link, take its label: their answers are derived from the pivot's, and sets of one label are never paired again. Rounds
-  go on while they lower the pairs left over, which are counted and not made.
-* Pairs left over are found between blocks of the lists (one label, sizes and places within a few percent). A pair of
-  blocks is skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped when a set
-  that both were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
-
-The result are components: a link between sets that are already connected through other links is not looked at again.
+* In each round every index list offers one pivot set: one that is close to none so far, with the smallest share of
+  shingles of its own, so the one that most others can be close to. The other sets of the list are compared with it.
+* A set is close to a linked one, R, when |A xor R| is at most half of what a link between sets of A's size allows. It then
+  takes R as its leader, and the answers of all sets with one leader are derived: by |A xor B| <= |A xor R| + |R xor B|
+  each of them links with each other one, so they are counted and never paired. Rounds go on while they lower the pairs
+  left over, which are counted and not made.
+* Pairs left over, all of different leaders, are found between blocks of the lists (one leader, sizes and places within a few
+  percent). A pair of blocks is skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped
+  when a set that both were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
+
+No link is lost: two sets have one leader and link by derivation, or were compared, or a bound says that they do not link.
+``n_links`` counts them all, ``component_id`` follows them.
 
 Defined results: a text with fewer than k words is one shingle of all its words; null, empty or wordless texts have the empty
-set and link with nothing. A null document id links with nothing and has a null component. Rows with the same id are one node.
-No documents give no rows. Extra columns are ignored.
+set and link with nothing. A null document id links with nothing and has a null component and no links. Rows are judged one
+by one: those that share an id but not their set are different nodes, those that share both link with each other. Very long
+texts are one set like others. Ties between pivots or leaders go to the smaller node. No documents give no rows. Extra
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,12 +36,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm import marks
 from gleaner.llm import words as wd
-from gleaner.llm.common import scratch_path, stage
+from gleaner.llm.common import fresh, scratch_path, stage
 from gleaner.llm.components import components
 
 SHINGLE = 5
@@ -90,11 +96,18 @@ def index_prefix(found: np.ndarray, table: np.ndarray, percent: int) -> tuple[np
     return found[order], np.arange(unique, size, dtype=np.int32)
 
 
-SETS = "doc_id bigint, n bigint, sig_a bigint, sig_b bigint, hashes array<bigint>, places array<int>, members array<bigint>"
+def text_key() -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64("text")
+
+
+SETS = "row bigint, doc_id bigint, text_key bigint, n bigint, sig_a bigint, sig_b bigint, hashes array<bigint>, places array<int>, members array<bigint>"
 
 
 def _sets(docs: DataFrame, table, k: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Unique within what the tasks of the stage commit; the rows are written before they are used.
+        row = TaskContext.get().partitionId() << 36
         for part in wd.slices(batches):
             n, sig, hashes, places, members = [], [], [], [], []
             empty = np.zeros(0, np.uint64)
@@ -112,11 +125,12 @@ def _sets(docs: DataFrame, table, k: int, percent: int) -> DataFrame:
                 return pa.ListArray.from_arrays(at, pa.array(np.concatenate(parts).astype(kind)))
 
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig[:, 0]), pa.array(sig[:, 1]), lists(hashes, np.int64), lists(places, np.int32), lists(members, np.int64)],
+                [pa.array(range(row, row + len(n)), pa.int64()), part.column("doc_id"), part.column("text_key"), pa.array(n, pa.int64()), pa.array(sig[:, 0]), pa.array(sig[:, 1]), lists(hashes, np.int64), lists(places, np.int32), lists(members, np.int64)],
                 names=[x.split()[0] for x in SETS.split(", ")],
             )
+            row += len(n)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SETS)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key().alias("text_key")).mapInArrow(run, SETS)
 
 
 COMPARED = "a bigint, b bigint, shared bigint, na bigint, nb bigint, linked boolean"
@@ -133,25 +147,33 @@ def _may_link(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) ->
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, shared, na, nb, linked`` of pairs of documents, from their whole sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("_b"))
+    """``a, b, shared, na, nb, linked`` of pairs of sets, from all their members."""
+    left = sets.select(F.col("s").alias("a"), F.col("members").alias("_a"))
+    right = sets.select(F.col("s").alias("b"), F.col("members").alias("_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     counted = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).cast("bigint").alias("shared"), F.size("_a").cast("bigint").alias("na"), F.size("_b").cast("bigint").alias("nb"))
     return counted.withColumn("linked", 100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared")))
 
 
-def _next_labels(labels: DataFrame, compared: DataFrame) -> DataFrame:
-    """Each set takes the smallest label among its own and those of the sets it was found to link with.
+def _both_ways(compared: DataFrame) -> DataFrame:
+    apart = (F.col("na") + F.col("nb") - 2 * F.col("shared")).alias("apart")
+    there = compared.select(F.col("a").alias("s"), F.col("na").alias("n"), F.col("b").alias("r"), apart)
+    return there.unionByName(compared.select(F.col("b").alias("s"), F.col("nb").alias("n"), F.col("a").alias("r"), apart))
+
+
+def _leaders(heads: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """``s, label, settled``: the leader of each set, and whether it is close to any other one.
 
-    Sets of one label are connected through links. Connected sets may still have different labels; that costs
-    comparisons, and the components at the end join them.
+    The leader is, of the set and those it is close to, the one with the most known links.
     """
-    links = compared.filter("linked")
-    both = links.select(F.col("a").alias("s"), F.col("b").alias("doc_id")).unionByName(links.select(F.col("b").alias("s"), F.col("a").alias("doc_id")))
-    offered = both.join(labels, "doc_id").groupBy("s").agg(F.min("label").alias("_offer")).withColumnRenamed("s", "doc_id")
-    linked = F.col("linked") | F.col("_offer").isNotNull()
-    return labels.join(offered, "doc_id", "left").select("doc_id", F.least("label", "_offer").alias("label"), linked.alias("linked"))
+    links = _both_ways(compared.filter("linked"))
+    known = links.groupBy("s").agg(F.count("*").alias("known"))
+    close = links.filter((100 - percent) * F.col("n") >= (100 + percent) * F.col("apart"))
+    offered = close.join(known.withColumnRenamed("s", "r"), "r").groupBy("s").agg(F.max(F.struct("known", (-F.col("r")).alias("r"))).alias("best"))
+    own = F.struct(F.col("known"), (-F.col("s")).alias("r"))
+    led = heads.join(known.join(offered, "s"), "s", "left")
+    label = F.when(F.col("best") > own, -F.col("best.r")).otherwise(F.col("s"))
+    return led.select("s", label.alias("label"), F.col("best").isNotNull().alias("settled"))
 
 
 def _left_over(index: DataFrame) -> int:
@@ -163,12 +185,12 @@ def _left_over(index: DataFrame) -> int:
 
 def _against_pivots(index: DataFrame, number: int, percent: int) -> DataFrame:
     """Pairs of each list's pivot of this round with the sets of other labels."""
-    first = [F.col("linked"), (F.col("own") / F.col("n")).alias("share"), F.xxhash64("doc_id", F.lit(number)).alias("o")]
-    order = F.struct(*first, F.col("doc_id").alias("pivot"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("label").alias("pl"))
+    first = [F.col("settled"), (F.col("own") / F.col("n")).alias("share"), F.xxhash64("s", F.lit(number)).alias("o")]
+    order = F.struct(*first, F.col("s").alias("pivot"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("label").alias("pl"))
     pivots = index.groupBy("h").agg(F.min(order).alias("p"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h", "p.pivot", "p.pn", "p.pp", "p.pl")
     met = index.join(pivots, "h").filter(F.col("label") != F.col("pl"))
     met = met.filter(_may_link(F.col("n"), F.col("place"), F.col("pn"), F.col("pp"), percent))
-    return met.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
+    return met.select(F.least("s", "pivot").alias("a"), F.greatest("s", "pivot").alias("b")).distinct()
 
 
 def _between_blocks(index: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
@@ -177,7 +199,7 @@ def _between_blocks(index: DataFrame, tested: DataFrame | None, percent: int) ->
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent + 1e-9))).cast("bigint")
     fine = F.floor(20 * F.log("n")).cast("bigint")
     depth = F.floor(50 * F.col("place") / F.col("n")).cast("bigint")
-    entries = index.select("h", "doc_id", "n", "place", "label", band.alias("band"), fine.alias("fine"), depth.alias("depth"))
+    entries = index.select("h", "s", "n", "place", "label", band.alias("band"), fine.alias("fine"), depth.alias("depth"))
     key = ["h", "label", "band", "fine", "depth"]
     blocks = entries.groupBy(*key).agg(F.min("place").alias("place"), F.min("n").alias("least"), F.max("n").alias("most"))
     left = blocks.select("h", *[F.col(c).alias(f"{c}_a") for c in blocks.columns[1:]])
@@ -188,19 +210,18 @@ def _between_blocks(index: DataFrame, tested: DataFrame | None, percent: int) ->
     met = left.join(right, ["h", "band_a"]).filter((F.col("label_a") < F.col("label_b")) & room & sizes)
     met = met.select("h", *[f"{c}_{side}" for side in "ab" for c in key[1:]])
     for side in "ab":
-        own = entries.select("h", *[F.col(c).alias(f"{c}_{side}") for c in (*key[1:], "doc_id", "n", "place")])
+        own = entries.select("h", *[F.col(c).alias(f"{c}_{side}") for c in (*key[1:], "s", "n", "place")])
         met = met.join(own, ["h", *[f"{c}_{side}" for c in key[1:]]])
     met = met.filter(_may_link(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
     pairs = met.select(
-        F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"), (F.col("n_a") + F.col("n_b")).alias("both")
+        F.least("s_a", "s_b").alias("a"), F.greatest("s_a", "s_b").alias("b"), (F.col("n_a") + F.col("n_b")).alias("both")
     ).distinct()
     if tested is None:
         return pairs.select("a", "b")
     done = tested.select("a", "b")
     pairs = pairs.join(done, ["a", "b"], "left_anti")
     # A set that one of the two is close to, and what comparing it with the other has told.
-    apart = (F.col("na") + F.col("nb") - 2 * F.col("shared")).alias("apart")
-    both_ways = tested.select(F.col("a").alias("s"), F.col("b").alias("r"), apart).unionByName(tested.select(F.col("b").alias("s"), F.col("a").alias("r"), apart))
+    both_ways = _both_ways(tested).drop("n")
     close = both_ways.groupBy("s").agg(F.min(F.struct("apart", "r")).alias("c")).select(F.col("s").alias("a"), F.col("c.r").alias("r"), F.col("c.apart").alias("near"))
     told = both_ways.select(F.col("s").alias("b"), "r", F.col("apart").alias("far")).distinct()
     known = pairs.join(close, "a", "left").join(told, ["b", "r"], "left")
@@ -208,63 +229,94 @@ def _between_blocks(index: DataFrame, tested: DataFrame | None, percent: int) ->
     return known.filter(~F.coalesce(ruled_out, F.lit(False))).select("a", "b").distinct()
 
 
-def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document row: ``doc_id, n_shingles, class_id, component_id``.
-
-    ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one reachable by links.
-    """
+def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n, class_id, component_id, root, n_links`` per row; ``root`` names the component, null for a row alone."""
     spark = docs.sparkSession
     bits = marks.range_bits(docs)
     table = marks.mark_table(_counted(docs, bits, k), bits, marks.levels_of_counts)
     sets = stage(_sets(docs, table, k, percent), "sets")
-    own = sets.select("doc_id", "n", "sig_a", "sig_b")
-    classes = stage(own.filter("n > 0 and doc_id is not null").groupBy("sig_a", "sig_b").agg(F.min("doc_id").alias("class_id")), "classes")
-
-    listed = sets.filter(F.size("hashes") > 0)
-    firsts = listed.select("doc_id", "n", "hashes", "places").join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-    entries = firsts.select("doc_id", "n", F.inline(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("place")))).withColumnRenamed("hashes", "h").withColumnRenamed("places", "place")
-    shared = entries.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x != y").select("h")
+    table.destroy()
+    own = sets.select("row", "doc_id", "text_key", "n", "sig_a", "sig_b")
+    # A class is named by one of its rows, ``s``.
+    first = F.min(F.struct("doc_id", "row")).alias("first")
+    grouped = own.filter("n > 0 and doc_id is not null").groupBy("sig_a", "sig_b").agg(first, F.count("*").alias("size"))
+    classes = stage(grouped.select("sig_a", "sig_b", F.col("first.row").alias("s"), F.col("first.doc_id").alias("class_id"), "size"), "classes")
+
+    listed = sets.filter(F.size("hashes") > 0).withColumnRenamed("row", "s")
+    firsts = listed.select("s", "n", "hashes", "places").join(classes.select("s"), "s", "left_semi")
+    entries = firsts.select("s", "n", F.inline(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("place")))).withColumnRenamed("hashes", "h").withColumnRenamed("places", "place")
+    shared = entries.groupBy("h").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x != y").select("h")
     index = stage(entries.join(shared, "h", "left_semi"), "index")
     # ``own``: the places before a set's first entry are shingles that no other set has in its index.
-    heads = stage(index.groupBy("doc_id").agg(F.min("place").alias("own")), "heads")
-    kept_sets = stage(listed.select("doc_id", "members").join(heads, "doc_id", "left_semi"), "indexed-sets")
+    heads = stage(index.groupBy("s").agg(F.min("place").alias("own")), "heads")
+    kept_sets = stage(listed.select("s", "members").join(heads, "s", "left_semi"), "indexed-sets")
 
     size = index.count()
-    labels = heads.select("doc_id", F.col("doc_id").alias("label"), F.lit(False).alias("linked"))
+    labels = heads.select("s", F.col("s").alias("label"), F.lit(False).alias("settled"))
     tested: list[str] = []
 
-    def compare(pairs: DataFrame) -> DataFrame:
+    def all_tested() -> DataFrame:
+        return spark.read.schema(COMPARED).parquet(*tested)
+
+    def compare(pairs: DataFrame) -> None:
         tested.append(scratch_path(spark, "compared"))
         _verified(pairs, kept_sets, percent).write.parquet(tested[-1])
-        return spark.read.schema(COMPARED).parquet(tested[-1])
 
     left_before = float("inf")
     for number in range(ROUNDS + 1):
-        labelled = stage(index.join(labels, "doc_id").join(heads, "doc_id"), "index")
+        labelled = stage(index.join(labels, "s").join(heads, "s"), "index")
         left = _left_over(labelled)
         if number == ROUNDS or left <= LEFT_OVER * size or left > STILL_FALLING * left_before:
             break
         left_before = left
         pairs = _against_pivots(labelled, number, percent)
         if tested:
-            pairs = pairs.join(spark.read.schema(COMPARED).parquet(*tested).select("a", "b"), ["a", "b"], "left_anti")
-        labels = stage(_next_labels(labels, compare(pairs)), "labels")
-    compare(_between_blocks(labelled, spark.read.schema(COMPARED).parquet(*tested) if tested else None, percent))
-    links = spark.read.schema(COMPARED).parquet(*tested).filter("linked")
-
-    reached = components(links, "a", "b").select(F.col("node").alias("class_id"), "component")
-    grouped = classes.join(reached, "class_id", "left").select("sig_a", "sig_b", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    joined = own.join(grouped, ["sig_a", "sig_b"], "left")
-    alone = (F.col("n") == 0) | F.col("doc_id").isNull()
-    return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            pairs = pairs.join(all_tested().select("a", "b"), ["a", "b"], "left_anti")
+        compare(pairs)
+        labels = stage(_leaders(heads, all_tested(), percent), "labels")
+    compare(_between_blocks(labelled, all_tested() if tested else None, percent))
+
+    # Links between sets of different leaders; those of one leader all link with each other.
+    led = stage(labels.select("s", "label").join(classes.select("s", "size"), "s"), "led")
+    sides = [led.select(F.col("s").alias(x), F.col("label").alias(f"l{x}"), F.col("size").alias(f"size_{x}")) for x in "ab"]
+    across = stage(all_tested().filter("linked").select("a", "b").join(sides[0], "a").join(sides[1], "b").filter("la != lb"), "across")
+    other = across.select(F.col("a").alias("s"), F.col("size_b").alias("c")).unionByName(across.select(F.col("b").alias("s"), F.col("size_a").alias("c")))
+    counted = led.join(led.groupBy("label").agg(F.sum("size").alias("same")), "label").join(other.groupBy("s").agg(F.sum("c").alias("others")), "s", "left")
+    reached = components(across, "la", "lb").select(F.col("node").alias("label"), "component")
+    placed = counted.join(reached, "label", "left").select(
+        "s", F.coalesce("component", "label").alias("root"), (F.col("same") + F.coalesce("others", F.lit(0)) - 1).alias("linked")
     )
+    known = stage(classes.join(placed, "s", "left").select("sig_a", "sig_b", "class_id", F.coalesce("root", "s").alias("root"), F.coalesce("linked", F.col("size") - 1).alias("n_links")), "known")
+    least = known.groupBy("root").agg(F.min("class_id").alias("component_id"))
+
+    own = own.withColumn("alone", (F.col("n") == 0) | F.col("doc_id").isNull())
+    joined = own.filter("not alone").join(known.join(least, "root"), ["sig_a", "sig_b"])
+    names = ["doc_id", "text_key", "n", "class_id", "component_id", "root", "n_links"]
+    alone = own.filter("alone").withColumn("root", F.lit(None).cast("bigint")).withColumn("n_links", F.lit(0).cast("bigint"))
+    return joined.select(names).unionByName(alone.withColumn("class_id", F.col("doc_id")).withColumn("component_id", F.col("doc_id")).select(names))
+
+
+def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document row: ``doc_id, n_shingles, class_id, component_id, n_links``.
+
+    ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one reachable by links, ``n_links``
+    the number of other rows that the row links with, equal sets included.
+    """
+    return _related(docs, k, percent).select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents with the smallest id of their component, one row each; documents with a null id stay."""
-    first = similar_sets(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each component the row with the smallest id; rows with a null id stay, and so do all different texts that do not link.
+
+    Of rows that share the id and link, or are without words, one stays.
+    """
+    own = fresh(docs, "kept_id", "kept_text")
+    rows = _related(docs, k, percent).filter("doc_id is not null")
+    one = F.min(F.struct("doc_id", "text_key")).alias("one")
+    linked = rows.filter("root is not null").groupBy("root").agg(one).select("one.*")
+    wordless = rows.filter("root is null").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    first = linked.unionByName(wordless).select(F.col("doc_id").alias(own["kept_id"]), F.col("text_key").alias(own["kept_text"]))
+    keyed = docs.filter("doc_id is not null")
+    same = (F.col(own["kept_id"]) == F.col("doc_id").cast("bigint")) & (F.col(own["kept_text"]) == text_key())
+    kept = keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.filter("doc_id is null"))

@@ -32,7 +32,7 @@ def op1_packing(spark, sf):
 
 @query
 def op2_jaccard_join(spark, sf):
-    return jaccard.similar_sets(read(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+    return jaccard.similar_sets(read(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 @query

@@ -24,6 +24,11 @@ def shingles(text, k=5):
 
 def jaccard(docs, k=5, percent=80):
     """{doc_id: (n_shingles, component_id)} for unique ids."""
+    return {d: (n, c) for d, (n, c, _) in jaccard_links(docs, k, percent).items()}
+
+
+def jaccard_links(docs, k=5, percent=80):
+    """{doc_id: (n_shingles, component_id, n_links)} for unique ids."""
     sets = {d: shingles(t, k) for d, t in docs}
     parent = {d: d for d in sets}
 
@@ -36,16 +41,17 @@ def jaccard(docs, k=5, percent=80):
     for d, s in sets.items():
         for x in s:
             by[x].append(d)
-    pairs = set()
+    pairs, links = set(), Counter()
     for group in by.values():
         for i, a in enumerate(group):
             pairs.update((a, b) for b in group[i + 1 :])
     for a, b in pairs:
         both = len(sets[a] & sets[b])
         if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            links.update((a, b))
             x, y = find(a), find(b)
             parent[max(x, y)] = min(x, y)
-    return {d: (len(s), find(d)) for d, s in sets.items()}
+    return {d: (len(s), find(d), links[d]) for d, s in sets.items()}
 
 
 def repeats(docs, width=13):

@@ -27,8 +27,8 @@ def table(spark, folder, name, *columns):
 
 
 def test_jaccard_query(spark, small):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in REGISTERED["op2_jaccard_join"](spark, small).collect()}
-    assert got == brute.jaccard(table(spark, small, "documents", "doc_id", "text"))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in REGISTERED["op2_jaccard_join"](spark, small).collect()}
+    assert got == brute.jaccard_links(table(spark, small, "documents", "doc_id", "text"))
 
 
 def test_packing_query(spark, small):

@@ -45,24 +45,24 @@ def rows(df, *names):
 
 def test_jaccard(spark, texts):
     ship_package(spark)
-    got = rows(jaccard.similar_sets(frame(spark, texts)), "doc_id", "n_shingles", "component_id")
-    assert got == sorted(((k, *v) for k, v in brute.jaccard(list(enumerate(texts))).items()), key=repr)
+    got = rows(jaccard.similar_sets(frame(spark, texts)), "doc_id", "n_shingles", "component_id", "n_links")
+    assert got == sorted(((k, *v) for k, v in brute.jaccard_links(list(enumerate(texts))).items()), key=repr)
 
 
 @pytest.mark.parametrize("percent,k", [(50, 2), (90, 5), (100, 3)])
 def test_jaccard_other_limits(spark, texts, percent, k):
-    got = rows(jaccard.similar_sets(frame(spark, texts), k, percent), "doc_id", "n_shingles", "component_id")
-    assert got == sorted(((i, *v) for i, v in brute.jaccard(list(enumerate(texts)), k, percent).items()), key=repr)
+    got = rows(jaccard.similar_sets(frame(spark, texts), k, percent), "doc_id", "n_shingles", "component_id", "n_links")
+    assert got == sorted(((i, *v) for i, v in brute.jaccard_links(list(enumerate(texts)), k, percent).items()), key=repr)
 
 
 def test_jaccard_without_rounds(spark, texts, monkeypatch):
     """Blocks alone, and pivots alone until nothing is left, find the same components."""
-    want = sorted(((k, *v) for k, v in brute.jaccard(list(enumerate(texts))).items()), key=repr)
+    want = sorted(((k, *v) for k, v in brute.jaccard_links(list(enumerate(texts))).items()), key=repr)
     monkeypatch.setattr(jaccard, "ROUNDS", 0)
-    assert rows(jaccard.similar_sets(frame(spark, texts)), "doc_id", "n_shingles", "component_id") == want
+    assert rows(jaccard.similar_sets(frame(spark, texts)), "doc_id", "n_shingles", "component_id", "n_links") == want
     monkeypatch.setattr(jaccard, "ROUNDS", 3)
     monkeypatch.setattr(jaccard, "LEFT_OVER", -1)
-    assert rows(jaccard.similar_sets(frame(spark, texts)), "doc_id", "n_shingles", "component_id") == want
+    assert rows(jaccard.similar_sets(frame(spark, texts)), "doc_id", "n_shingles", "component_id", "n_links") == want
 
 
 def test_jaccard_nulls_and_repeats(spark):
@@ -72,9 +72,34 @@ def test_jaccard_nulls_and_repeats(spark):
     assert got == sorted([(3, 26, 3), (3, 26, 3), (7, 26, 3), (8, 0, 8), (9, 0, 9), (None, 26, None)], key=repr)
     kept = sorted(r.doc_id or -1 for r in jaccard.one_of_each(docs).collect())
     assert kept == [-1, 3, 8, 9]
+    links = rows(jaccard.similar_sets(docs), "doc_id", "n_links")
+    assert links == sorted([(3, 2), (3, 2), (7, 2), (8, 0), (9, 0), (None, 0)], key=repr)
     assert jaccard.similar_sets(docs.limit(0)).count() == 0
 
 
+def test_jaccard_texts_that_share_an_id(spark):
+    """An id says nothing about the text: an unlinked text of a repeated id stays."""
+    x, y = (" ".join(f"{c}{i}" for i in range(30)) for c in "xy")
+    docs = spark.createDataFrame([(3, x, 1), (5, x, 2), (5, y, 3), (7, y, 4), (8, "", 5), (8, None, 6)], "doc_id bigint, text string, root int")
+    assert rows(jaccard.one_of_each(docs), "doc_id", "text")[:2] == [(3, x), (5, y)]
+    assert jaccard.one_of_each(docs).filter("doc_id = 8").count() == 1
+    clashing = docs.selectExpr("*", "1 as n", "2 as h", "3 as label", "4 as s", "5 as kept_id", "6 as row")
+    assert jaccard.one_of_each(clashing).columns == clashing.columns
+    assert rows(jaccard.similar_sets(clashing), "doc_id", "n_links") == [(3, 1), (5, 1), (5, 1), (7, 1), (8, 0), (8, 0)]
+
+
+def test_jaccard_groups_with_one_leader(spark, monkeypatch):
+    """Copies near to one text and others at the edge of a link: counts by derivation equal counts by comparison."""
+    rng = random.Random(11)
+    words = sentence(rng, 200, 5000).split()
+    share = [0.0, 0.004, 0.008, 0.02, 0.03, 0.05]
+    made = [" ".join(w if rng.random() > share[i % 6] else f"z{rng.randrange(9)}" for w in words[: 200 - i % 3 * 8]) for i in range(90)]
+    want = sorted(((d, *v) for d, v in brute.jaccard_links(list(enumerate(made))).items()), key=repr)
+    for left_over in (-1, 2):
+        monkeypatch.setattr(jaccard, "LEFT_OVER", left_over)
+        assert rows(jaccard.similar_sets(frame(spark, made)), "doc_id", "n_shingles", "component_id", "n_links") == want
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 4), (9, 9), (None, 1), (20, 10), (10, 30), *[(100, i) for i in range(101, 160)]], "a bigint, b bigint")
     got = dict(components(edges, "a", "b").collect())
