@@ -11,15 +11,16 @@ Skipping between sets:
 * Equal sets are one class with one entry in the index.
 * In each round every index list offers one pivot set: one that is close to none so far, with the smallest share of
   shingles of its own, so the one that most others can be close to. The other sets of the list are compared with it.
-* A set is close to a linked one, R, when |A xor R| is at most half of what a link between sets of A's size allows. It then
-  takes R as its leader, and the answers of all sets with one leader are derived: by |A xor B| <= |A xor R| + |R xor B|
-  each of them links with each other one, so they are counted and never paired. Rounds go on while they lower the pairs
-  left over, which are counted and not made.
+* Of the sets it was found to link with, a set takes the one with most links as its leader, R, and the answers of the sets with
+  one leader are derived from what the leader's comparisons have told, by |A xor B| = |A xor R| + |B xor R| - 2 |both|, where
+  ``both`` are the shingles that A and B have different from R. Pairs that link even without any are counted by running totals
+  and never made. For the others the few differences are joined, not the sets. Rounds go on while they lower the pairs left
+  over, which are counted and not made.
 * Pairs left over, all of different leaders, are found between blocks of the lists (one leader, sizes and places within a few
   percent). A pair of blocks is skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped
   when a set that both were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
 
-No link is lost: two sets have one leader and link by derivation, or were compared, or a bound says that they do not link.
+No link is lost: two sets have one leader and their answer is derived, or were compared, or a bound says that they do not link.
 ``n_links`` counts them all, ``component_id`` follows them.
 
 Defined results: a text with fewer than k words is one shingle of all its words; null, empty or wordless texts have the empty
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm import marks
@@ -161,19 +162,47 @@ def _both_ways(compared: DataFrame) -> DataFrame:
     return there.unionByName(compared.select(F.col("b").alias("s"), F.col("nb").alias("n"), F.col("a").alias("r"), apart))
 
 
-def _leaders(heads: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """``s, label, settled``: the leader of each set, and whether it is close to any other one.
-
-    The leader is, of the set and those it is close to, the one with the most known links.
-    """
+def _leaders(heads: DataFrame, compared: DataFrame) -> DataFrame:
+    """``s, label, apart, settled``: the leader of each set, what they differ by, and whether the set has a link."""
     links = _both_ways(compared.filter("linked"))
     known = links.groupBy("s").agg(F.count("*").alias("known"))
-    close = links.filter((100 - percent) * F.col("n") >= (100 + percent) * F.col("apart"))
-    offered = close.join(known.withColumnRenamed("s", "r"), "r").groupBy("s").agg(F.max(F.struct("known", (-F.col("r")).alias("r"))).alias("best"))
-    own = F.struct(F.col("known"), (-F.col("s")).alias("r"))
-    led = heads.join(known.join(offered, "s"), "s", "left")
-    label = F.when(F.col("best") > own, -F.col("best.r")).otherwise(F.col("s"))
-    return led.select("s", label.alias("label"), F.col("best").isNotNull().alias("settled"))
+    offer = F.max(F.struct("known", (-F.col("r")).alias("r"), "apart")).alias("best")
+    offered = links.join(known.withColumnRenamed("s", "r"), "r").groupBy("s").agg(offer)
+    led = heads.select("s").join(known.join(offered, "s"), "s", "left")
+    other = F.coalesce(F.struct(F.col("best.known"), F.col("best.r")) > F.struct(F.col("known"), -F.col("s")), F.lit(False))
+    return led.select(
+        "s", F.when(other, -F.col("best.r")).otherwise(F.col("s")).alias("label"),
+        F.when(other, F.col("best.apart")).otherwise(F.lit(0).cast("bigint")).alias("apart"), F.col("best").isNotNull().alias("settled"),
+    )
+
+
+def _within_groups(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``s, c``: in one or more parts, how many rows of other sets with the same leader a set links with.
+
+    ``slack`` is what the difference to the leader leaves of the set's half of the difference that a link allows.
+    """
+    # Totals from above, at each slack and at the one that just makes up for it. A group has as many different values of
+    # slack as sizes and differences allow, which is less than three times the shingles of its leader.
+    at = led.select("label", "slack", "size").unionByName(led.select("label", (-F.col("slack")).alias("slack"), F.lit(0).cast("bigint").alias("size")))
+    down = Window.partitionBy("label").orderBy(F.desc("slack")).rowsBetween(Window.unboundedPreceding, 0)
+    totals = at.groupBy("label", "slack").agg(F.sum("size").alias("c")).select("label", (-F.col("slack")).alias("slack"), F.sum("c").over(down).alias("c"))
+    own = F.when(F.col("slack") >= 0, F.col("size")).otherwise(0)
+    sure = led.join(totals, ["label", "slack"]).select("s", (F.col("c") - own).alias("c"))
+
+    # Differences from the leader, of groups that have a pair without enough slack.
+    open_groups = led.groupBy("label").agg(F.min("slack").alias("least")).filter("least < 0")
+    far = led.join(open_groups, "label").filter("s != label")
+    members = far.join(sets, "s").join(sets.select(F.col("s").alias("label"), F.col("members").alias("_l")), "label")
+    differs = F.concat(F.array_except("members", "_l"), F.array_except("_l", "members"))
+    single = stage(members.select("label", "s", "n", "apart", "slack", "size", F.explode(differs).alias("h")), "differences")
+    sides = [single.select("label", "h", *[F.col(c).alias(f"{c}_{x}") for c in ("s", "n", "apart", "slack", "size")]) for x in "ab"]
+    first = (F.col("slack_a") < F.col("slack_b")) | ((F.col("slack_a") == F.col("slack_b")) & (F.col("s_a") < F.col("s_b")))
+    room = (100 + percent) * F.abs(F.col("apart_a") - F.col("apart_b")) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    met = sides[0].filter("slack_a < 0").join(sides[1], ["label", "h"]).filter(first & room & (F.col("slack_a") + F.col("slack_b") < 0))
+    key = ["s_a", "s_b", "slack_a", "slack_b", "size_a", "size_b"]
+    both = met.groupBy(*key).agg(F.count("*").alias("both")).filter(F.col("slack_a") + F.col("slack_b") + 2 * (100 + percent) * F.col("both") >= 0)
+    both = stage(both, "derived")
+    return sure.unionByName(both.select(F.col("s_a").alias("s"), F.col("size_b").alias("c"))).unionByName(both.select(F.col("s_b").alias("s"), F.col("size_a").alias("c")))
 
 
 def _left_over(index: DataFrame) -> int:
@@ -248,11 +277,11 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     shared = entries.groupBy("h").agg(F.min("s").alias("x"), F.max("s").alias("y")).filter("x != y").select("h")
     index = stage(entries.join(shared, "h", "left_semi"), "index")
     # ``own``: the places before a set's first entry are shingles that no other set has in its index.
-    heads = stage(index.groupBy("s").agg(F.min("place").alias("own")), "heads")
-    kept_sets = stage(listed.select("s", "members").join(heads, "s", "left_semi"), "indexed-sets")
+    heads = stage(index.groupBy("s", "n").agg(F.min("place").alias("own")), "heads")
+    kept_sets = stage(listed.select("s", "members").join(heads.select("s"), "s", "left_semi"), "indexed-sets")
 
     size = index.count()
-    labels = heads.select("s", F.col("s").alias("label"), F.lit(False).alias("settled"))
+    labels = heads.select("s", F.col("s").alias("label"), F.lit(0).cast("bigint").alias("apart"), F.lit(False).alias("settled"))
     tested: list[str] = []
 
     def all_tested() -> DataFrame:
@@ -264,7 +293,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     left_before = float("inf")
     for number in range(ROUNDS + 1):
-        labelled = stage(index.join(labels, "s").join(heads, "s"), "index")
+        labelled = stage(index.drop("n").join(labels.drop("apart"), "s").join(heads, "s"), "index")
         left = _left_over(labelled)
         if number == ROUNDS or left <= LEFT_OVER * size or left > STILL_FALLING * left_before:
             break
@@ -273,18 +302,19 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
         if tested:
             pairs = pairs.join(all_tested().select("a", "b"), ["a", "b"], "left_anti")
         compare(pairs)
-        labels = stage(_leaders(heads, all_tested(), percent), "labels")
+        labels = stage(_leaders(heads, all_tested()), "labels")
     compare(_between_blocks(labelled, all_tested() if tested else None, percent))
 
-    # Links between sets of different leaders; those of one leader all link with each other.
-    led = stage(labels.select("s", "label").join(classes.select("s", "size"), "s"), "led")
+    slack = ((100 - percent) * F.col("n") - (100 + percent) * F.col("apart")).alias("slack")
+    led = stage(labels.join(heads.select("s", "n"), "s").join(classes.select("s", "size"), "s").select("s", "label", "n", "apart", slack, "size"), "led")
     sides = [led.select(F.col("s").alias(x), F.col("label").alias(f"l{x}"), F.col("size").alias(f"size_{x}")) for x in "ab"]
     across = stage(all_tested().filter("linked").select("a", "b").join(sides[0], "a").join(sides[1], "b").filter("la != lb"), "across")
     other = across.select(F.col("a").alias("s"), F.col("size_b").alias("c")).unionByName(across.select(F.col("b").alias("s"), F.col("size_a").alias("c")))
-    counted = led.join(led.groupBy("label").agg(F.sum("size").alias("same")), "label").join(other.groupBy("s").agg(F.sum("c").alias("others")), "s", "left")
+    others = other.unionByName(_within_groups(led, kept_sets, percent)).groupBy("s").agg(F.sum("c").alias("others"))
+    counted = led.join(others, "s", "left")
     reached = components(across, "la", "lb").select(F.col("node").alias("label"), "component")
     placed = counted.join(reached, "label", "left").select(
-        "s", F.coalesce("component", "label").alias("root"), (F.col("same") + F.coalesce("others", F.lit(0)) - 1).alias("linked")
+        "s", F.coalesce("component", "label").alias("root"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("linked")
     )
     known = stage(classes.join(placed, "s", "left").select("sig_a", "sig_b", "class_id", F.coalesce("root", "s").alias("root"), F.coalesce("linked", F.col("size") - 1).alias("n_links")), "known")
     least = known.groupBy("root").agg(F.min("class_id").alias("component_id"))
