@@ -31,7 +31,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     """
     app = spark.sparkContext.applicationId
     remove(spark, _left.pop(app, []))
-    gc.collect()  # plans that are let go give up their shuffle files and broadcasts
+    let_go(spark)
     _collecting.append([])
     try:
         yield
@@ -39,6 +39,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _left[app] = _collecting.pop()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Plans that are no longer held give up their shuffle files, broadcasts and driver memory now, not at some later collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders that this library has made, wherever Spark keeps them."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

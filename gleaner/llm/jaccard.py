@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from gleaner.llm import marks
 from gleaner.llm import words as wd
-from gleaner.llm.common import fresh, scratch_path, stage
+from gleaner.llm.common import fresh, let_go, scratch_path, stage
 from gleaner.llm.components import components
 
 SHINGLE = 5
@@ -163,15 +163,15 @@ def _both_ways(compared: DataFrame) -> DataFrame:
 
 
 def _leaders(heads: DataFrame, compared: DataFrame) -> DataFrame:
-    """``s, label, apart, settled``: the leader of each set, what they differ by, and whether the set has a link."""
+    """``s, n, own, label, apart, settled``: each set with its leader, what they differ by, and whether the set has a link."""
     links = _both_ways(compared.filter("linked"))
     known = links.groupBy("s").agg(F.count("*").alias("known"))
     offer = F.max(F.struct("known", (-F.col("r")).alias("r"), "apart")).alias("best")
     offered = links.join(known.withColumnRenamed("s", "r"), "r").groupBy("s").agg(offer)
-    led = heads.select("s").join(known.join(offered, "s"), "s", "left")
+    led = heads.join(known.join(offered, "s"), "s", "left")
     other = F.coalesce(F.struct(F.col("best.known"), F.col("best.r")) > F.struct(F.col("known"), -F.col("s")), F.lit(False))
     return led.select(
-        "s", F.when(other, -F.col("best.r")).otherwise(F.col("s")).alias("label"),
+        "s", "n", "own", F.when(other, -F.col("best.r")).otherwise(F.col("s")).alias("label"),
         F.when(other, F.col("best.apart")).otherwise(F.lit(0).cast("bigint")).alias("apart"), F.col("best").isNotNull().alias("settled"),
     )
 
@@ -265,6 +265,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     table = marks.mark_table(_counted(docs, bits, k), bits, marks.levels_of_counts)
     sets = stage(_sets(docs, table, k, percent), "sets")
     table.destroy()
+    let_go(spark)
     own = sets.select("row", "doc_id", "text_key", "n", "sig_a", "sig_b")
     # A class is named by one of its rows, ``s``.
     first = F.min(F.struct("doc_id", "row")).alias("first")
@@ -281,7 +282,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     kept_sets = stage(listed.select("s", "members").join(heads.select("s"), "s", "left_semi"), "indexed-sets")
 
     size = index.count()
-    labels = heads.select("s", F.col("s").alias("label"), F.lit(0).cast("bigint").alias("apart"), F.lit(False).alias("settled"))
+    labels = heads.select("s", "n", "own", F.col("s").alias("label"), F.lit(0).cast("bigint").alias("apart"), F.lit(False).alias("settled"))
     tested: list[str] = []
 
     def all_tested() -> DataFrame:
@@ -293,7 +294,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     left_before = float("inf")
     for number in range(ROUNDS + 1):
-        labelled = stage(index.drop("n").join(labels.drop("apart"), "s").join(heads, "s"), "index")
+        labelled = stage(index.drop("n").join(labels.drop("apart"), "s"), "index")
         left = _left_over(labelled)
         if number == ROUNDS or left <= LEFT_OVER * size or left > STILL_FALLING * left_before:
             break
@@ -303,15 +304,19 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
             pairs = pairs.join(all_tested().select("a", "b"), ["a", "b"], "left_anti")
         compare(pairs)
         labels = stage(_leaders(heads, all_tested()), "labels")
+        let_go(spark)
     compare(_between_blocks(labelled, all_tested() if tested else None, percent))
 
+    let_go(spark)
+
     slack = ((100 - percent) * F.col("n") - (100 + percent) * F.col("apart")).alias("slack")
-    led = stage(labels.join(heads.select("s", "n"), "s").join(classes.select("s", "size"), "s").select("s", "label", "n", "apart", slack, "size"), "led")
+    led = stage(labels.join(classes.select("s", "size"), "s").select("s", "label", "n", "apart", slack, "size"), "led")
     sides = [led.select(F.col("s").alias(x), F.col("label").alias(f"l{x}"), F.col("size").alias(f"size_{x}")) for x in "ab"]
     across = stage(all_tested().filter("linked").select("a", "b").join(sides[0], "a").join(sides[1], "b").filter("la != lb"), "across")
     other = across.select(F.col("a").alias("s"), F.col("size_b").alias("c")).unionByName(across.select(F.col("b").alias("s"), F.col("size_a").alias("c")))
     others = other.unionByName(_within_groups(led, kept_sets, percent)).groupBy("s").agg(F.sum("c").alias("others"))
     counted = led.join(others, "s", "left")
+    let_go(spark)
     reached = components(across, "la", "lb").select(F.col("node").alias("label"), "component")
     placed = counted.join(reached, "label", "left").select(
         "s", F.coalesce("component", "label").alias("root"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("linked")
