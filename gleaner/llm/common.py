@@ -45,6 +45,18 @@ def let_go(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs that run within get Arrow batches of at most so many rows, so that a batch of whole texts stays small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, min(rows, before) if before > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders that this library has made, wherever Spark keeps them."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from gleaner.llm import marks
 from gleaner.llm import words as wd
-from gleaner.llm.common import fresh, let_go, scratch_path, stage
+from gleaner.llm.common import fresh, let_go, scratch_path, small_batches, stage
 from gleaner.llm.components import components
 
 SHINGLE = 5
@@ -262,8 +262,9 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``doc_id, text_key, n, class_id, component_id, root, n_links`` per row; ``root`` names the component, null for a row alone."""
     spark = docs.sparkSession
     bits = marks.range_bits(docs)
-    table = marks.mark_table(_counted(docs, bits, k), bits, marks.levels_of_counts)
-    sets = stage(_sets(docs, table, k, percent), "sets")
+    with small_batches(spark):
+        table = marks.mark_table(_counted(docs, bits, k), bits, marks.levels_of_counts)
+        sets = stage(_sets(docs, table, k, percent), "sets")
     table.destroy()
     let_go(spark)
     own = sets.select("row", "doc_id", "text_key", "n", "sig_a", "sig_b")

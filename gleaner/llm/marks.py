@@ -24,7 +24,7 @@ SLOT_BITS = 25
 #: Bytes of text for each range; a range's fingerprints are one task's work.
 RANGE_BYTES = 96 << 20
 #: Fingerprints that a task gathers before it sends them.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 
 U = np.uint64
 
@@ -68,9 +68,11 @@ class Gatherer:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.n:
-            yield send(np.concatenate(self.values), self.bits, np.concatenate(self.flags) if self.flags else None)
+        values, flags, n = self.values, self.flags, self.n
         self.values, self.flags, self.n = [], [], 0
+        if n:
+            values, flags = np.concatenate(values), np.concatenate(flags) if flags else None
+            yield send(values, self.bits, flags)
 
 
 def levels_of_counts(prints: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
