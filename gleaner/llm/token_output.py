@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import words as wd
-from gleaner.llm.common import stage
+from gleaner.llm.common import small_batches, stage
 from gleaner.llm.tokens import END, Vocabulary, encoder
 
 LENGTH = 1024
 PER_SHARD = 4096
 KEY = 0x5DEECE66D
+#: Of an Arrow batch, of which the JVM and the Python worker of each task hold a few.
+BATCH_BYTES = 8 << 20
 ROUNDS = 6
 
 U = np.uint64
@@ -171,7 +173,8 @@ def write_training_order(
 ) -> int:
     """Write ``<path>/shards/shard=K/`` and ``<path>/manifest``; the number of sequences is returned."""
     vocabulary = vocabulary or Vocabulary.byte_bpe_50k()
-    made = stage(sequences(docs, vocabulary, length), "sequences")
+    with small_batches(docs.sparkSession, size=BATCH_BYTES):  # not where records are dealt: larger batches pack better
+        made = stage(sequences(docs, vocabulary, length), "sequences")
     # One row per task that wrote sequences, put in order on the cluster's side of a small sort.
     counts = made.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
     starts, n = [], 0
