@@ -47,12 +47,20 @@ def log_likelihood(n: Column, n_a: Column, n_b: Column, n_ab: Column, p: float =
     return -2 * (null - (n_ab * F.log(F.lit(p)) + (n_a - n_ab) * F.log(F.lit(1 - p))))
 
 
-def dot_counts(docs: DataFrame, text: str) -> DataFrame:
-    """``base, n_dot, n_plain`` of every word type of letters and inner dots; base '' holds all words and all with a dot."""
-    tokens = docs.select(F.explode(words(F.col(text))).alias("w")).select(word_type(F.col("w")).alias("t"))
-    marked = tokens.select(base_of(F.col("t")).alias("base"), F.endswith("t", F.lit(".")).cast("int").alias("dot"))
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """``w, n``: how often each word stands in the texts, as written. What is asked of words is asked of these rows, not of every occurrence."""
+    return docs.select(F.explode(words(F.col(text))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+
+def dot_counts(docs: DataFrame, text: str, counted: DataFrame | None = None) -> DataFrame:
+    """``base, n_dot, n_plain`` of every word type of letters and inner dots; base '' holds all words and all with a dot.
+
+    ``counted`` are stored ``word_counts`` of the same texts.
+    """
+    counted = word_counts(docs, text) if counted is None else counted
+    marked = counted.select(word_type(F.col("w")).alias("t"), "n").select(base_of(F.col("t")).alias("base"), F.endswith("t", F.lit(".")).alias("dot"), "n")
     judged = F.when(F.col("base").rlike(LETTERS_AND_DOTS), F.col("base")).otherwise(F.lit("."))
-    per_type = marked.groupBy(judged.alias("base")).agg(F.sum("dot").alias("n_dot"), F.sum(1 - F.col("dot")).alias("n_plain"))
+    per_type = marked.groupBy(judged.alias("base")).agg(F.sum(F.when(F.col("dot"), F.col("n")).otherwise(0)).alias("n_dot"), F.sum(F.when(F.col("dot"), 0).otherwise(F.col("n"))).alias("n_plain"))
     per_type = staged(per_type, "dot-counts")
     total = per_type.agg(F.lit("").alias("base"), F.coalesce(F.sum("n_dot"), F.lit(0)).alias("n_dot"), F.coalesce(F.sum("n_plain"), F.lit(0)).alias("n_plain"))
     return per_type.where("base <> '.'").unionByName(total)
@@ -75,32 +83,35 @@ def abbreviations(counts: DataFrame, least_score: float = LEAST_SCORE, least: in
 
 def _fragments(text: Column) -> Column:
     """The text cut at every possible boundary."""
-    return F.filter(F.split(F.translate(text, _MARK, " "), SENTENCE_GAP), lambda s: F.trim(s) != "")
+    return F.filter(F.split(F.replace(text, F.lit(_MARK), F.lit(" ")), SENTENCE_GAP), lambda s: F.trim(s) != "")
 
 
 def _last_base(fragment: Column) -> Column:
     """The base of the last word if it ends with a dot, else null."""
-    kind = word_type(F.element_at(F.split(F.trim(fragment), r"\s+"), -1))
-    return F.when(F.endswith(kind, F.lit(".")), base_of(kind))
+    # What follows the last space is short; only there other white space is looked for, and the type is made once.
+    word = F.regexp_replace(F.substring_index(F.trim(fragment), " ", -1), r"(?s)^.*\s", "")
+    return F.get(F.transform(F.array(word_type(word)), lambda kind: F.when(F.endswith(kind, F.lit(".")), base_of(kind))), F.lit(0))
 
 
 def _first_word(fragment: Column) -> Column:
-    return F.regexp_replace(F.element_at(F.split(F.trim(fragment), r"\s+"), 1), OPENERS, "")
+    return F.regexp_replace(F.regexp_extract(F.substring_index(F.trim(fragment), " ", 1), r"^\S*", 0), OPENERS, "")
 
 
-def starters(docs: DataFrame, text: str, abbreviated: DataFrame, least: float = LEAST_STARTER) -> DataFrame:
+def starters(docs: DataFrame, text: str, abbreviated: DataFrame, least: float = LEAST_STARTER, counted: DataFrame | None = None) -> DataFrame:
     """``word, n_first, n_all, ratio`` of the capitalised words that start sentences more often than chance.
 
-    Counted after fragments whose last word is no abbreviation, so what the model is not sure about has no say.
+    Counted after fragments whose last word is no abbreviation, so what the model is not sure about has no say. ``counted`` are
+    stored ``word_counts`` of the same texts.
     """
+    counted = staged(word_counts(docs, text), "words") if counted is None else counted
     numbered = docs.select(F.col(text), F.monotonically_increasing_id().alias("_row"))
-    parts = numbered.select("_row", F.posexplode(F.transform(_fragments(F.col(text)), lambda s: F.struct(_last_base(s).alias("last"), word_type(_first_word(s)).alias("first"), F.size(words(s)).alias("n")))).alias("i", "s"))
+    parts = numbered.select("_row", F.posexplode(F.transform(_fragments(F.col(text)), lambda s: F.struct(_last_base(s).alias("last"), word_type(_first_word(s)).alias("first")))).alias("i", "s"))
     parts = staged(parts.select("_row", "i", "s.*"), "fragments")
     sure = parts.join(abbreviated.select(F.col("base").alias("last"), F.lit(1).alias("_abbreviated")), "last", "left").where("_abbreviated IS NULL")
     ends = sure.select("_row", (F.col("i") + 1).alias("i"))
     first = parts.join(ends, ["_row", "i"], "left_semi").groupBy(F.col("first").alias("word")).agg(F.count("*").alias("n_first"))
-    every = docs.select(F.explode(words(F.col(text))).alias("w")).select(base_of(word_type(F.col("w"))).alias("word")).groupBy("word").agg(F.count("*").alias("n_all"))
-    totals = every.agg(F.sum("n_all").alias("n")).first()["n"]
+    every = counted.groupBy(base_of(word_type(F.col("w"))).alias("word")).agg(F.sum("n").alias("n_all"))
+    totals = counted.agg(F.sum("n").alias("n")).first()["n"]
     starts = staged(first, "first-words")
     n_starts = starts.agg(F.sum("n_first").alias("n")).first()["n"]
     if not totals or not n_starts:
@@ -120,7 +131,13 @@ def learned_sentences(docs: DataFrame, text: str, doc_id: str, abbreviated: Data
     """``docs`` with the array of sentences. Joined fragments are separated by one space; a null text has a null array."""
     cut = docs.withColumn("_f", _fragments(F.col(text))).withColumn("_key", F.xxhash64(doc_id))
     last = F.transform("_f", _last_base)
-    asked = F.array_distinct(F.concat(F.transform(F.filter(last, lambda x: x.isNotNull()), lambda x: F.struct(F.lit("a").alias("kind"), x.alias("word"))), F.transform("_f", lambda s: F.struct(F.lit("s").alias("kind"), word_type(_first_word(s)).alias("word")))))
+    firsts = F.transform("_f", lambda s: word_type(_first_word(s)))
+
+    def named(kind: str, found: Column) -> Column:
+        # Distinct as strings: Spark hashes these, but compares structs pair by pair.
+        return F.transform(F.array_distinct(found), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("word")))
+
+    asked = F.concat(named("a", F.filter(last, lambda x: x.isNotNull())), named("s", firsts))
     # Only these words meet the model; a text whose id stands twice gets the words of both, which changes nothing.
     model = abbreviated.select(F.lit("a").alias("kind"), F.col("base").alias("word")).unionByName(starting.select(F.lit("s").alias("kind"), "word"))
     held = cut.select("_key", F.inline(asked)).join(model, ["kind", "word"])

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.operators import boundaries as bd
 
@@ -119,3 +120,31 @@ def test_no_words_and_no_dots(spark):
         assert model.count() == 0
         first = bd.starters(docs, "text", model)
         assert len(bd.learned_sentences(docs, "text", "doc_id", model, first).collect()) == len(rows)
+
+
+def test_words_are_counted_once(spark):
+    """Types and starters are made from the stored counts of the words: the texts are not taken apart again for them."""
+    texts = ['He met Dr. Ann.\tThe dog, (the "Dog") barked!  Then 3.5 miles. the\u3000dog \x1e ran.', "\tA. \n B\x1fc. D", "", None, "One  two. One."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    counted = bd.word_counts(docs, "text")
+    assert {r.w: r.n for r in counted.collect()} == Counter(w for t in texts if t for w in WORD.findall(t))
+    plain = {tuple(r) for r in bd.dot_counts(docs, "text").collect()}
+    nothing = docs.where("false")
+    assert {tuple(r) for r in bd.dot_counts(nothing, "text", counted).collect()} == plain
+    found = spark.createDataFrame([("dr", 1, 0, 1.0)], "base string, n_dot bigint, n_plain bigint, score double")
+    wanted = {tuple(r) for r in bd.starters(docs, "text", found, -1.0).collect()}
+    doubled = bd.starters(docs, "text", found, -1.0, counted=counted.withColumn("n", 2 * F.col("n"))).collect()
+    assert wanted and {(r.word, r.n_first, r.n_all) for r in doubled} >= {(w, first, 2 * n) for w, first, n, _ in wanted}
+
+
+def test_first_and_last_words_of_odd_fragments(spark):
+    odd = ["a b.", " (Dr. ", "x\ty.", "\tfoo\u00a0bar.", "\t", "one", "end. \n", "a\nb c.\td", "e.\u2028", "Mr.),  ", "u\x1fv."]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(odd)], "i int, s string")
+    pieces = F.split(F.trim("s"), r"\s+")
+    kind = bd.word_type(F.element_at(pieces, -1))
+    got = rows.select(
+        "i", bd._last_base(F.col("s")).alias("last"), bd._first_word(F.col("s")).alias("first"),
+        F.when(F.endswith(kind, F.lit(".")), bd.base_of(kind)).alias("want_last"), F.regexp_replace(F.element_at(pieces, 1), bd.OPENERS, "").alias("want_first"),
+    )
+    for r in got.collect():
+        assert (r.last, r.first) == (r.want_last, r.want_first), odd[r.i]
