@@ -4,6 +4,7 @@ import os
 import random
 from dataclasses import replace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from gleaner.operators import changes, index
 from gleaner.session import stage_path
 from gleaner.sources import versions
 from gleaner.streaming import raw_files
-from gleaner.streaming.keyed import sync_keyed
+from gleaner.streaming.keyed import newest, sync_keyed
 from gleaner.streaming.sync import file_stream
 
 
@@ -142,3 +143,14 @@ def test_a_repeated_file_batch_replaces_itself(spark, tmp_path):
     assert raw_files.loads(spark, stage_path(spark, "nothing")).count() == 0
 
 
+
+
+def test_a_key_that_comes_once_is_settled_without_sorting(monkeypatch):
+    """Nearly every group of a stream is one row, and sorting it cost more than all the rest."""
+    row = pd.DataFrame({"doc": [1], "v": [3], "_order": [7]})
+    many = pd.DataFrame({"doc": [1, 1, 1], "v": [2, 3, 3], "_order": [9, 8, 6]})
+    assert newest(iter([row, many, row]), "v")[1] == (3, 8)
+    assert newest(iter([row.iloc[:0]]), "v") == (None, None)
+    monkeypatch.setattr(pd.DataFrame, "sort_values", None)
+    best, rank = newest(iter([row]), "v")
+    assert rank == (3, 7) and best.equals(row)
