@@ -147,8 +147,15 @@ def _may_link(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) ->
     return sizes & (F.least(na - pa_, nb - pb) >= least_overlap(na, nb, percent))
 
 
+def _wanted(sets: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """The sets named in stored pairs. The names are few and are written first, so that Spark need not send all members to find their sets."""
+    named = pairs.select(F.explode(F.array(a, b)).alias("s")).distinct()
+    return sets.join(stage(named, "wanted"), "s", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, shared, na, nb, linked`` of pairs of sets, from all their members."""
+    """``a, b, shared, na, nb, linked`` of stored pairs of sets, from all their members."""
+    sets = _wanted(sets, pairs, "a", "b")
     left = sets.select(F.col("s").alias("a"), F.col("members").alias("_a"))
     right = sets.select(F.col("s").alias("b"), F.col("members").alias("_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -191,7 +198,8 @@ def _within_groups(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # Differences from the leader, of groups that have a pair without enough slack.
     open_groups = led.groupBy("label").agg(F.min("slack").alias("least")).filter("least < 0")
-    far = led.join(open_groups, "label").filter("s != label")
+    far = stage(led.join(open_groups, "label").filter("s != label"), "far")
+    sets = _wanted(sets, far, "s", "label")
     members = far.join(sets, "s").join(sets.select(F.col("s").alias("label"), F.col("members").alias("_l")), "label")
     differs = F.concat(F.array_except("members", "_l"), F.array_except("_l", "members"))
     single = stage(members.select("label", "s", "n", "apart", "slack", "size", F.explode(differs).alias("h")), "differences")
@@ -205,11 +213,12 @@ def _within_groups(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sure.unionByName(both.select(F.col("s_a").alias("s"), F.col("size_b").alias("c"))).unionByName(both.select(F.col("s_b").alias("s"), F.col("size_a").alias("c")))
 
 
-def _left_over(index: DataFrame) -> int:
-    """Pairs of entries with different labels, over all lists."""
+def _left_over(index: DataFrame) -> tuple[int, int]:
+    """Pairs of entries with different labels, over all lists, and the number of entries."""
     per = index.groupBy("h", "label").agg(F.count("*").alias("c")).groupBy("h")
     pairs = per.agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    return int(pairs.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0)
+    left, size = pairs.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
+    return int(left or 0), size or 0
 
 
 def _against_pivots(index: DataFrame, number: int, percent: int) -> DataFrame:
@@ -282,7 +291,6 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     heads = stage(index.groupBy("s", "n").agg(F.min("place").alias("own")), "heads")
     kept_sets = stage(listed.select("s", "members").join(heads.select("s"), "s", "left_semi"), "indexed-sets")
 
-    size = index.count()
     labels = heads.select("s", "n", "own", F.col("s").alias("label"), F.lit(0).cast("bigint").alias("apart"), F.lit(False).alias("settled"))
     tested: list[str] = []
 
@@ -291,12 +299,12 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     def compare(pairs: DataFrame) -> None:
         tested.append(scratch_path(spark, "compared"))
-        _verified(pairs, kept_sets, percent).write.parquet(tested[-1])
+        _verified(stage(pairs, "pairs"), kept_sets, percent).write.parquet(tested[-1])
 
     left_before = float("inf")
     for number in range(ROUNDS + 1):
         labelled = stage(index.drop("n").join(labels.drop("apart"), "s"), "index")
-        left = _left_over(labelled)
+        left, size = _left_over(labelled)
         if number == ROUNDS or left <= LEFT_OVER * size or left > STILL_FALLING * left_before:
             break
         left_before = left

@@ -100,6 +100,21 @@ def test_jaccard_groups_with_one_leader(spark, monkeypatch):
         assert rows(jaccard.similar_sets(frame(spark, made)), "doc_id", "n_shingles", "component_id", "n_links") == want
 
 
+def test_only_sets_that_a_pair_names_are_sent(spark):
+    sets = spark.createDataFrame([(s, list(range(s, s + 10))) for s in range(50)], "s bigint, members array<bigint>")
+    pairs = spark.createDataFrame([(3, 4), (3, 12), (4, 3)], "a bigint, b bigint")
+    assert rows(jaccard._wanted(sets, pairs, "a", "b"), "s") == [(12,), (3,), (4,)]
+    assert rows(jaccard._verified(pairs, sets, 80), "a", "b", "shared", "linked") == [(3, 12, 1, False), (3, 4, 9, True), (4, 3, 9, True)]
+
+
+def test_what_only_the_leader_holds_counts_in_what_two_sets_differ_by(spark):
+    same = "b c d e f g h i j k l m n o p q r"
+    ship_package(spark)
+    made = [f"x1 {same}", f"x2 {same}", f"x3 {same}", f"x3 {same}"]
+    got = rows(jaccard.similar_sets(frame(spark, made)), "doc_id", "component_id", "n_links")
+    assert got == [(i, 0, 3) for i in range(4)]
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 4), (9, 9), (None, 1), (20, 10), (10, 30), *[(100, i) for i in range(101, 160)]], "a bigint, b bigint")
     got = dict(components(edges, "a", "b").collect())
