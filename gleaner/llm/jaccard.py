@@ -14,8 +14,8 @@ Skipping between sets:
 * Of the sets it was found to link with, a set takes the one with most links as its leader, R, and the answers of the sets with
   one leader are derived from what the leader's comparisons have told, by |A xor B| = |A xor R| + |B xor R| - 2 |both|, where
   ``both`` are the shingles that A and B have different from R. Pairs that link even without any are counted by running totals
-  and never made. For the others the few differences are joined, not the sets. Rounds go on while they lower the pairs left
-  over, which are counted and not made.
+  and never made. For the others the few differences are joined, not the sets, and only at places with as many left as the pair
+  has to share. Rounds go on while they lower the pairs left over, which are counted and not made.
 * Pairs left over, all of different leaders, are found between blocks of the lists (one leader, sizes and places within a few
   percent). A pair of blocks is skipped as a whole when their places and sizes rule the overlap out. A pair of sets is skipped
   when a set that both were compared with tells that they differ too much (|A xor B| >= |R xor B| - |R xor A|).
@@ -183,6 +183,27 @@ def _leaders(heads: DataFrame, compared: DataFrame) -> DataFrame:
     )
 
 
+def _linked_by_differences(single: DataFrame, percent: int) -> DataFrame:
+    """``s_a, s_b, size_a, size_b``: pairs of one leader that link by the differences that they share.
+
+    A pair that lacks so much slack has to share so many differences. In the order that all sets of a leader have them in, the
+    first shared one then has as many from it on, in both sets; pairs meet in such places only and are counted afterwards.
+    """
+    own = ["s", "n", "apart", "slack", "size"]
+    entries = single.select("label", *own, F.posexplode("differs").alias("place", "h"))
+    sides = [entries.select("label", "h", *[F.col(c).alias(f"{c}_{x}") for c in (*own, "place")]) for x in "ab"]
+    first = (F.col("slack_a") < F.col("slack_b")) | ((F.col("slack_a") == F.col("slack_b")) & (F.col("s_a") < F.col("s_b")))
+    room = (100 + percent) * F.abs(F.col("apart_a") - F.col("apart_b")) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    lacking = -(F.col("slack_a") + F.col("slack_b"))
+    left = F.least(F.col("apart_a") - F.col("place_a"), F.col("apart_b") - F.col("place_b"))
+    met = sides[0].filter("slack_a < 0").join(sides[1], ["label", "h"]).filter(first & room & (lacking > 0) & (2 * (100 + percent) * left >= lacking))
+    met = met.select("s_a", "s_b", "size_a", "size_b", lacking.alias("lacking")).distinct()
+    for x in "ab":
+        met = met.join(single.select(F.col("s").alias(f"s_{x}"), F.col("differs").alias(f"differs_{x}")), f"s_{x}")
+    shared = F.size(F.array_intersect("differs_a", "differs_b"))
+    return met.filter(2 * (100 + percent) * shared >= F.col("lacking")).select("s_a", "s_b", "size_a", "size_b")
+
+
 def _within_groups(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``s, c``: in one or more parts, how many rows of other sets with the same leader a set links with.
 
@@ -201,15 +222,10 @@ def _within_groups(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     far = stage(led.join(open_groups, "label").filter("s != label"), "far")
     sets = _wanted(sets, far, "s", "label")
     members = far.join(sets, "s").join(sets.select(F.col("s").alias("label"), F.col("members").alias("_l")), "label")
-    differs = F.concat(F.array_except("members", "_l"), F.array_except("_l", "members"))
-    single = stage(members.select("label", "s", "n", "apart", "slack", "size", F.explode(differs).alias("h")), "differences")
-    sides = [single.select("label", "h", *[F.col(c).alias(f"{c}_{x}") for c in ("s", "n", "apart", "slack", "size")]) for x in "ab"]
-    first = (F.col("slack_a") < F.col("slack_b")) | ((F.col("slack_a") == F.col("slack_b")) & (F.col("s_a") < F.col("s_b")))
-    room = (100 + percent) * F.abs(F.col("apart_a") - F.col("apart_b")) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    met = sides[0].filter("slack_a < 0").join(sides[1], ["label", "h"]).filter(first & room & (F.col("slack_a") + F.col("slack_b") < 0))
-    key = ["s_a", "s_b", "slack_a", "slack_b", "size_a", "size_b"]
-    both = met.groupBy(*key).agg(F.count("*").alias("both")).filter(F.col("slack_a") + F.col("slack_b") + 2 * (100 + percent) * F.col("both") >= 0)
-    both = stage(both, "derived")
+    # Those that the leader lacks first: hardly two sets share one.
+    differs = F.concat(F.sort_array(F.array_except("members", "_l")), F.sort_array(F.array_except("_l", "members")))
+    single = stage(members.select("label", "s", "n", "apart", "slack", "size", differs.alias("differs")), "differences")
+    both = stage(_linked_by_differences(single, percent), "derived")
     return sure.unionByName(both.select(F.col("s_a").alias("s"), F.col("size_b").alias("c"))).unionByName(both.select(F.col("s_b").alias("s"), F.col("size_a").alias("c")))
 
 
@@ -290,6 +306,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # ``own``: the places before a set's first entry are shingles that no other set has in its index.
     heads = stage(index.groupBy("s", "n").agg(F.min("place").alias("own")), "heads")
     kept_sets = stage(listed.select("s", "members").join(heads.select("s"), "s", "left_semi"), "indexed-sets")
+    let_go(spark)
 
     labels = heads.select("s", "n", "own", F.col("s").alias("label"), F.lit(0).cast("bigint").alias("apart"), F.lit(False).alias("settled"))
     tested: list[str] = []
@@ -300,6 +317,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def compare(pairs: DataFrame) -> None:
         tested.append(scratch_path(spark, "compared"))
         _verified(stage(pairs, "pairs"), kept_sets, percent).write.parquet(tested[-1])
+        let_go(spark)
 
     left_before = float("inf")
     for number in range(ROUNDS + 1):
@@ -316,8 +334,6 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
         let_go(spark)
     compare(_between_blocks(labelled, all_tested() if tested else None, percent))
 
-    let_go(spark)
-
     slack = ((100 - percent) * F.col("n") - (100 + percent) * F.col("apart")).alias("slack")
     led = stage(labels.join(classes.select("s", "size"), "s").select("s", "label", "n", "apart", slack, "size"), "led")
     sides = [led.select(F.col("s").alias(x), F.col("label").alias(f"l{x}"), F.col("size").alias(f"size_{x}")) for x in "ab"]
@@ -327,6 +343,7 @@ def _related(docs: DataFrame, k: int, percent: int) -> DataFrame:
     counted = led.join(others, "s", "left")
     let_go(spark)
     reached = components(across, "la", "lb").select(F.col("node").alias("label"), "component")
+    let_go(spark)
     placed = counted.join(reached, "label", "left").select(
         "s", F.coalesce("component", "label").alias("root"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("linked")
     )

@@ -9,6 +9,7 @@ too many shared slots only cost work.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -104,13 +105,14 @@ def mark_table(
         slots = (prints[starts] >> (32 - slice_bits)).astype(np.int64) if slice_bits else np.zeros(len(starts), np.int64)
         made = np.zeros(1 << slice_bits, np.uint8)
         np.maximum.at(made, slots[marks > 0], marks[marks > 0])
-        return pa.table({"range": table.column("range")[:1].combine_chunks(), "marks": pa.array([made.tobytes()], pa.binary())})
+        return pa.table({"range": table.column("range")[:1].combine_chunks(), "marks": pa.array([zlib.compress(made, 1)], pa.binary())})
 
     made = sent.groupBy("range").applyInArrow(count, "range int, marks binary")
     whole = np.zeros(1 << SLOT_BITS, np.uint8)
-    # Written first, so that a lost driver connection or executor does not repeat the count; then read part by part.
+    # Written first, so that a lost driver connection or executor does not repeat the count; then read part by part. Parts are
+    # packed until the driver's Python has them, since the JVM copies each row several times, and large arrays cost its heap most.
     for row in stage(made, "marks").toLocalIterator():
-        part = np.frombuffer(row.marks, np.uint8)
+        part = np.frombuffer(zlib.decompress(row.marks), np.uint8)
         at = (row.range << slice_bits) if bits <= SLOT_BITS else row.range >> (bits - SLOT_BITS)
         np.maximum(whole[at : at + len(part)], part, out=whole[at : at + len(part)])
     return sent.sparkSession.sparkContext.broadcast(whole)

@@ -107,6 +107,16 @@ def test_only_sets_that_a_pair_names_are_sent(spark):
     assert rows(jaccard._verified(pairs, sets, 80), "a", "b", "shared", "linked") == [(3, 12, 1, False), (3, 4, 9, True), (4, 3, 9, True)]
 
 
+def test_jaccard_pairs_meet_where_enough_differences_are_left(spark):
+    # Each lacks slack for three shared differences (360 makes up for one); 1 and 2 share their last three, 3 has but its last in common.
+    lists = {1: [10, 11, 90, 91, 92], 2: [20, 21, 90, 91, 92], 3: [30, 31, 32, 33, 92]}
+    single = spark.createDataFrame([(0, s, 100, 5, -540, 1, h) for s, h in lists.items()], "label bigint, s bigint, n bigint, apart bigint, slack bigint, size bigint, differs array<bigint>")
+    found = jaccard._linked_by_differences(single, 80)
+    assert rows(found, "s_a", "s_b") == [(1, 2)]
+    exact = [(0, s, 100, 5, -180, 1, h) for s, h in lists.items()]
+    assert rows(jaccard._linked_by_differences(spark.createDataFrame(exact, single.schema), 80), "s_a", "s_b") == [(1, 2), (1, 3), (2, 3)]
+
+
 def test_what_only_the_leader_holds_counts_in_what_two_sets_differ_by(spark):
     same = "b c d e f g h i j k l m n o p q r"
     ship_package(spark)
