@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import WORD_CHAR, fresh, let, stage, words_of
+from gleaner.llm.common import WORD_CHAR, let, stage, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 REPEAT_WINDOW = 8
@@ -177,11 +177,9 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: f
 
 def kept_rows(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
     """The rows of ``docs`` that are kept. Of rows with one id each stands for its own text and stratum."""
-    own = fresh(docs, "text_hash")["text_hash"]
-    marked = docs.withColumn(own, F.xxhash64("text", stratum))
-    judged = judge_quality(docs, labels, stratum, risk, error, F.xxhash64("text", stratum))
-    kept = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    return marked.join(kept, marked.doc_id.eqNullSafe(kept._id) & (marked[own] == kept._mark), "left_semi").drop(own)
+    # The rows are stored with what is counted about them, so the texts are not dealt out to find theirs.
+    judged = judge_quality(docs, labels, stratum, risk, error, F.struct(*[docs[c] for c in docs.columns]))
+    return judged.filter("kept").select("mark.*")
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR, mark: Column | None = None) -> DataFrame:

@@ -269,3 +269,11 @@ def test_rows_of_one_id_are_judged_by_their_own_text(spark):
     kept = quality.kept_rows(docs, labels)
     assert kept.columns == docs.columns
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.filter("text like 'word%'").collect()))
+
+
+def test_rows_are_kept_without_dealing_out_their_texts(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"word{j}" for j in range(40)), "en") for i in range(3)], "doc_id bigint, text string, lang string")
+    kept = quality.kept_rows(docs, spark.createDataFrame([], "doc_id bigint, quality int"))
+    assert kept.count() == 3
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Exchange" in x and "Broadcast" not in x and "text" in x] and "SortMergeJoin" not in plan
