@@ -27,6 +27,15 @@ def test_recall_is_held_at_two_sizes(spark):
         assert all(r.buckets_held and r.tables_held for r in REGISTERED["F5_recall_held"](spark, folder).collect())
 
 
+def test_recall_is_told_for_every_query(spark, tmp_path):
+    vectors = np.random.default_rng(4).normal(size=(130, 64))
+    rows = [(7 * i + 1, v.tolist(), 0) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    told = REGISTERED["F5_recall_by_query"](spark, str(tmp_path)).collect()
+    assert sorted((r.query_id, r.way) for r in told) == sorted((i, way) for i, _, _ in rows for way in ("buckets", "tables"))
+    assert all(r.n_true == 5 for r in told)
+
+
 @pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 1000, "block_bytes": 30_000}])
 def test_all_hash_buckets_give_the_exact_result(spark, small, limits):
     rows = keyed(spark, small)
